@@ -8,15 +8,17 @@ once, and gives the next plan exact sizes.
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and the bench; a cluster brings its own."""
-    return (
+    spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("crateloom")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -26,6 +28,20 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+    ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the Python workers once per context, wherever they run."""
+    context = spark.sparkContext
+    if getattr(context, "_crateloom_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="crateloom-ship-")
+    archive = shutil.make_archive(f"{folder}/crateloom_package", "zip", root.parent, root.name)
+    context.addPyFile(archive)
+    context._crateloom_shipped = True
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -52,9 +68,25 @@ def _delete(spark: SparkSession, path: str) -> None:
         pass
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def parallelism(spark: SparkSession) -> int:
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Even partitions for a stage whose work per byte is high; AQE would merge them by bytes."""
+    return df.repartition(parallelism(df.sparkSession))
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """``spread`` for a plain file scan, only where it has fewer splits than the cluster has cores."""
+    few = df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+    return spread(df) if few else df
+
+
+def materialize(df: DataFrame, even: bool = False) -> DataFrame:
     """Write ``df`` once to the scratch area and read it back, without its lineage."""
     spark = df.sparkSession
+    df = spread(df) if even else df
     path = f"{scratch_root(spark)}/crateloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
