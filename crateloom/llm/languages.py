@@ -7,8 +7,8 @@ it, plus the escapes from the longer ones; statistics are frozen, so the cost de
 take the sum of their bytes, and Viterbi over words with a charge for changing the language gives the
 passages; a change is cheaper where a sentence ends.
 
-A passage counts as sentences of its language from ``MIN_WORDS`` words and ``MIN_BITS`` bits of margin to
-the next language; its confidence is the odds of that margin. Titles in quotes, markup and track lists are
+A passage counts as sentences of its language from ``MIN_WORDS`` words (``INNER_WORDS`` where it touches no
+sentence end, as names within a sentence do) and ``MIN_BITS`` bits of margin to the next language; its confidence is the odds of that margin. Titles in quotes, markup and track lists are
 masked before. Null and empty texts, and texts without such a passage, have no language. Labels are read
 in the writings of ``SPELLINGS`` with any region; others are no label. Labels enter only the training.
 """
@@ -33,7 +33,7 @@ TRAIN_DOCS, TRAIN_CHARS = 300, 6000
 WEEDING_BYTES, WEEDING_ROUNDS = 4, 3
 DEPTH = 5
 SWITCH_BITS, SWITCH_AT_END_BITS = 28.0, 12.0
-MIN_WORDS, MIN_BITS = 5, 40.0
+MIN_WORDS, INNER_WORDS, MIN_BITS = 6, 9, 40.0
 SLICE_BYTES = 400_000
 
 #: Writings of language names and codes, without regions.
@@ -160,8 +160,8 @@ class Trees:
         lengths = np.array([len(t.split()) for t in texts])
         return sums[:n_words], after, lengths
 
-    def passages(self, texts: list[str]) -> list[list[tuple[str, int, float]]]:
-        """For each text its passages (language, words, margin in bits)."""
+    def passages(self, texts: list[str]) -> list[list[tuple[str, int, float, bool]]]:
+        """For each text its passages (language, words, margin in bits, whether an end touches a sentence's end)."""
         cost, end, lengths = self.words(texts)
         n = len(self.langs)
         offset = np.concatenate([[0], np.cumsum(lengths)])
@@ -190,17 +190,19 @@ class Trees:
             at = offset[live] + t
             path[at] = here[live]
             here[live] = back[at, here[live]]
-        out: list[list[tuple[str, int, float]]] = []
+        out: list[list[tuple[str, int, float, bool]]] = []
         for i in range(len(texts)):
             a, b = offset[i], offset[i + 1]
             found = []
             if b > a:
                 cuts = a + np.concatenate([[0], np.flatnonzero(np.diff(path[a:b])) + 1])
-                sums = np.add.reduceat(cost, np.append(cuts, b) if b < len(cost) else cuts, axis=0)[: len(cuts)]
-                for k, s in enumerate(cuts):
+                sums = np.add.reduceat(cost[a:b], cuts - a, axis=0)
+                stops = np.append(cuts[1:], b)
+                for k, (s, e) in enumerate(zip(cuts, stops)):
                     lang = path[s]
-                    margin = float(np.partition(np.delete(sums[k], lang), 0)[0] - sums[k][lang]) if n > 1 else float("inf")
-                    found.append((self.langs[lang], int((cuts[k + 1] if k + 1 < len(cuts) else b) - s), margin))
+                    own_sum, sums[k, lang] = float(sums[k, lang]), np.inf
+                    whole = bool(end[s]) or e == b or bool(end[e])
+                    found.append((self.langs[lang], int(e - s), float(sums[k].min()) - own_sum, whole))
             out.append(found)
         return out
 
@@ -277,8 +279,8 @@ def passages(docs: DataFrame, trees: Trees) -> DataFrame:
                 if i == len(texts) or size > 2_000_000:
                     for doc, found in zip(ids[start:i], trees.passages(texts[start:i])):
                         rows += [
-                            (doc, k, lang, n, margin, n >= MIN_WORDS and margin >= MIN_BITS)
-                            for k, (lang, n, margin) in enumerate(found)
+                            (doc, k, lang, n, margin, n >= (MIN_WORDS if whole else INNER_WORDS) and margin >= MIN_BITS)
+                            for k, (lang, n, margin, whole) in enumerate(found)
                         ]
                     start, size = i, 0
                 if i < len(texts):
