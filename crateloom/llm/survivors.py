@@ -62,12 +62,13 @@ def _rank() -> list[Column]:
     return [complete.alias("n_real"), trust.alias("trust")]
 
 
-ORDER = [F.desc_nulls_last("n_real"), F.desc("trust"), F.desc_nulls_last("collected_at"), F.desc_nulls_last("loaded_at"), F.asc("row_id")]
+def _order() -> list[Column]:
+    return [F.desc_nulls_last("n_real"), F.desc("trust"), F.desc_nulls_last("collected_at"), F.desc_nulls_last("loaded_at"), F.asc("row_id")]
 
 
 def survivors(groups: DataFrame) -> DataFrame:
     """(group_key, survivor_row_id): the top record of every group."""
-    window = Window.partitionBy("group_key").orderBy(*ORDER)
+    window = Window.partitionBy("group_key").orderBy(*_order())
     return (
         groups.withColumn("place", F.row_number().over(window)).where("place = 1")
         .select("group_key", F.col("row_id").alias("survivor_row_id"))
