@@ -13,17 +13,20 @@ rows count once. Empty inputs give an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crateloom.functions.text import clean
 from crateloom.runtime import materialize, release
 
-ALWAYS = F.lit("0001-01-01").cast("timestamp_ntz")
-NEVER = F.lit("9999-12-31").cast("timestamp_ntz")
+ALWAYS, NEVER = "0001-01-01", "9999-12-31"
 REF = ["table_name", "field_name", "record_id", "ref_id", "loaded_at"]
 
 
+def at(day: str) -> Column:
+    return F.lit(day).cast("timestamp_ntz")
+
+
 def references(df: DataFrame, table_name: str, field: str, record_id: str) -> DataFrame:
     """Non-blank references of one field as (table_name, field_name, record_id, ref_id, loaded_at)."""
     return df.where(clean(F.col(field)) != "").select(
@@ -38,14 +41,14 @@ def references(df: DataFrame, table_name: str, field: str, record_id: str) -> Da
 def parents(df: DataFrame, id_col: str = "recording_id") -> DataFrame:
     return df.where(clean(F.col(id_col)) != "").select(
         F.col(id_col).cast("string").alias("ref_id"),
-        F.coalesce(F.col("loaded_at").cast("timestamp_ntz"), ALWAYS).alias("first_loaded"),
+        F.coalesce(F.col("loaded_at").cast("timestamp_ntz"), at(ALWAYS)).alias("first_loaded"),
     )
 
 
 def deletions(df: DataFrame, id_col: str = "recording_id") -> DataFrame:
     return df.where(clean(F.col(id_col)) != "").select(
         F.col(id_col).cast("string").alias("ref_id"),
-        F.coalesce(F.col("deleted_at").cast("timestamp_ntz"), ALWAYS).alias("deleted_at"),
+        F.coalesce(F.col("deleted_at").cast("timestamp_ntz"), at(ALWAYS)).alias("deleted_at"),
     )
 
 
@@ -73,7 +76,7 @@ class OrphanState:
         waiting = (
             refs.dropDuplicates(REF)
             .join(index, "ref_id", "left")
-            .where(F.col("first_loaded").isNull() | (F.col("first_loaded") > F.coalesce("loaded_at", NEVER)))
+            .where(F.col("first_loaded").isNull() | (F.col("first_loaded") > F.coalesce("loaded_at", at(NEVER))))
             .withColumn("kind", F.when(F.col("first_loaded").isNull(), "missing").otherwise("later"))
             .select(*REF, "kind")
         )
@@ -112,7 +115,7 @@ def replay(refs: DataFrame, all_parents: DataFrame, all_deletions: DataFrame, st
     Rows that arrive late in file order still fall into the interval of their load time.
     """
     low, high = all_parents.select("first_loaded").union(refs.select("loaded_at")).agg(
-        F.min(F.when(F.col("first_loaded") > ALWAYS, F.col("first_loaded"))), F.max("first_loaded")
+        F.min(F.when(F.col("first_loaded") > at(ALWAYS), F.col("first_loaded"))), F.max("first_loaded")
     ).first()
     cuts = [] if low is None else [low + (high - low) * k / steps for k in range(1, steps)]
     state = OrphanState()
@@ -120,10 +123,10 @@ def replay(refs: DataFrame, all_parents: DataFrame, all_deletions: DataFrame, st
         lower = F.lit(cuts[k - 1]).cast("timestamp_ntz") if k else None
         upper = F.lit(cuts[k]).cast("timestamp_ntz") if k < len(cuts) else None
 
-        def within(at):
-            at = F.coalesce(at, NEVER)
-            ok = F.lit(True) if lower is None else at > lower
-            return ok if upper is None else ok & (at <= upper)
+        def within(moment):
+            moment = F.coalesce(moment, at(NEVER))
+            ok = F.lit(True) if lower is None else moment > lower
+            return ok if upper is None else ok & (moment <= upper)
 
         yield state.step(
             refs.where(within(F.col("loaded_at"))),
