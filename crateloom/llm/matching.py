@@ -13,6 +13,7 @@ Exact repeated halves count once; halves without title are left out, empty input
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -42,7 +43,7 @@ PRIOR, CLIP = -6.0, 30.0
 #: Nats that each further track id of one recording costs.
 EXTRA_TRACK = 1.0
 TOLERANCE, MOST_ROUNDS, DAMPING, ACCEPT = 0.01, 12, 0.3, 0.5
-BUCKET_MS = 8000
+BUCKET_MS, MOST_TOKENS = 8000, 24
 #: Whole tails that are recognised with a slip of the pen.
 PHRASES = ["live", "demo", "dub", "acoustic", "instrumental", "extended mix", "remaster", "remastered", "digital remaster", "mono", "stereo", "single version", "album version", "radio edit"]
 
@@ -121,16 +122,19 @@ def milliseconds(*values: str | None) -> float | None:
     return None
 
 
-SIDE = "id string, core string, version string, edition string, artists array<string>, ms double, album string, year int, exact boolean, keys array<string>"
+SIDE = "id string, core string, version string, edition string, artists array<string>, ms double, album string, year int, keys array<long>"
 
 
-def _keys(core: str, version: str, artists: list[str], ms: float | None, album: str, left: bool) -> list[str]:
+def _keys(core: str, version: str, artists: list[str], ms: float | None, album: str, left: bool) -> list[int]:
     """Blocking keys. Equal titles meet under an artist; titles with a slip also under one token less.
 
     The second kind carries the duration in buckets of ``BUCKET_MS``, of which the right side visits
     three; a half without duration meets all of its artist's near titles through keys of its own.
     """
     tokens = core.split()
+    if len(tokens) > MOST_TOKENS:  # a slip stays within one run of tokens
+        step = -(-len(tokens) // MOST_TOKENS)
+        tokens = [" ".join(tokens[i : i + step]) for i in range(0, len(tokens), step)]
     version = "|".join(v.partition(":")[0] for v in version.split("|"))
     if len(tokens) > 1:
         less = {" ".join(tokens[:i] + tokens[i + 1 :]) for i in range(len(tokens))}
@@ -152,7 +156,12 @@ def _keys(core: str, version: str, artists: list[str], ms: float | None, album:
                 out.add(f"w|{a}|{x}|{version}")
             if not left and ms is None or left:
                 out.add(f"v|{a}|{x}|{version}")
-    return sorted(out)
+    return sorted(_hash(k) for k in out)
+
+
+def _hash(key: str) -> int:
+    """A long for a key; keys that collide only add candidates."""
+    return int.from_bytes(hashlib.blake2b(key.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
 def _side(rows: DataFrame, left: bool) -> DataFrame:
@@ -170,8 +179,7 @@ def _side(rows: DataFrame, left: bool) -> DataFrame:
                 album = fold_words(r.album or "")
                 year = re.search(r"(?:18|19|20)\d\d", r.year or "")
                 keys = _keys(core, version, artists, ms, album, left)
-                exact = bool(re.fullmatch(r"\d+(\.\d+)?", (r.d1 or "").strip())) and not (r.d1 or "").strip().endswith("000")
-                out.append((r.id, core, version, edition, artists, ms, album, int(year[0]) if year else None, exact, keys))
+                out.append((r.id, core, version, edition, artists, ms, album, int(year[0]) if year else None, keys))
             frame = pd.DataFrame(out, columns=[c.split()[0] for c in SIDE.split(", ")])
             frame["year"] = frame["year"].astype("Int32")
             yield frame
@@ -190,8 +198,8 @@ def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def _unary() -> Column:
     lc, rc = F.col("l_core"), F.col("r_core")
-    slips = F.levenshtein(lc, rc)
-    near = slips <= F.greatest(F.lit(1), F.least(F.lit(2), F.floor(F.length(lc) / 5)))
+    slips = F.levenshtein(lc, rc, 2)
+    near = (slips >= 0) & (slips <= F.greatest(F.lit(1), F.least(F.lit(2), F.floor(F.length(lc) / 5))))
     digits = F.regexp_replace(lc, r"\D+", " ") == F.regexp_replace(rc, r"\D+", " ")
     title = F.when(lc == rc, TITLE_EQUAL).when(near & digits, TITLE_CLOSE).otherwise(-CLIP)
     shared = F.size(F.array_intersect("l_artists", "r_artists"))
@@ -199,7 +207,7 @@ def _unary() -> Column:
     artist = (
         F.when((F.size("l_artists") == 0) | (F.size("r_artists") == 0), 0.0)
         .when(whole, ARTIST_EQUAL).when(shared > 0, ARTIST_SHARED)
-        .when(F.levenshtein(F.array_join("l_artists", " "), F.array_join("r_artists", " ")) <= 2, ARTIST_SHARED)
+        .when(F.levenshtein(F.array_join("l_artists", " "), F.array_join("r_artists", " "), 2) >= 0, ARTIST_SHARED)
         .otherwise(ARTIST_APART)
     )
     apart = F.abs(F.col("l_ms") - F.col("r_ms"))
@@ -208,12 +216,12 @@ def _unary() -> Column:
         .when(apart <= 10000, -5.0).otherwise(-12.0)
     )
     album = F.when((F.col("l_album") == "") | (F.col("r_album") == ""), 0.0).when(
-        (F.col("l_album") == F.col("r_album")) | (F.levenshtein("l_album", "r_album") <= 1), ALBUM_EQUAL
+        (F.col("l_album") == F.col("r_album")) | (F.levenshtein("l_album", "r_album", 1) >= 0), ALBUM_EQUAL
     ).otherwise(ALBUM_APART)
     years = F.abs(F.col("l_year") - F.col("r_year"))
     year = F.when(years.isNull(), 0.0).when(years <= 1, 1.5).when(years <= 3, 0.3).otherwise(-0.7)
-    named = F.levenshtein("l_version", "r_version")
-    version = F.when(named == 0, 0.0).when(named <= 2, -1.0).otherwise(-CLIP)
+    named = F.levenshtein("l_version", "r_version", 2)
+    version = F.when(named == 0, 0.0).when(named > 0, -1.0).otherwise(-CLIP)
     odds = F.lit(PRIOR) + version + title + artist + duration + album + year
     return F.greatest(F.lit(-CLIP), F.least(F.lit(CLIP), odds))
 

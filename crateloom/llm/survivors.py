@@ -8,7 +8,8 @@ group to its best row in each map task, so a hot group never meets in one task.
 
 ``golden`` builds one record per group with, for each field, the value of the best-ranked row that
 really has one. Blank, null and placeholder values are no values. Rows without any key form groups
-of their own. Ties fall to the smaller row id. Empty tables give empty results.
+of their own. Ties fall to the smaller row id.
+Columns beside the schema pass through unless they bear a name of the result. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -43,13 +44,13 @@ def grouped(rows: DataFrame) -> DataFrame:
     """``rows`` with ``group_key``: the smallest key of the component, or the row id."""
     record = F.when(real(F.col("recording_id")), F.concat(F.lit("R:"), clean(F.col("recording_id"))))
     track = F.concat(F.lit("T:"), track_key(F.col("spotify_track_id")))
-    keyed = rows.withColumn("_r", record).withColumn("_t", track)
-    pairs = keyed.select(F.coalesce("_r", "_t").alias("u"), F.coalesce("_t", "_r").alias("v")).distinct()
-    roots = materialize(components(pairs))
+    keyed = rows.withColumn("__r", record).withColumn("__t", track)
+    pairs = keyed.select(F.coalesce("__r", "__t").alias("u"), F.coalesce("__t", "__r").alias("v")).distinct()
+    roots = materialize(components(pairs).toDF("__node", "__root"))
     return (
-        keyed.withColumn("node", F.coalesce("_r", "_t")).join(roots, "node", "left")
-        .withColumn("group_key", F.coalesce("root", F.concat(F.lit("row:"), F.col("row_id").cast("string"))))
-        .drop("_r", "_t", "node", "root")
+        keyed.withColumn("__node", F.coalesce("__r", "__t")).join(roots, "__node", "left")
+        .withColumn("group_key", F.coalesce("__root", F.concat(F.lit("row:"), F.col("row_id").cast("string"))))
+        .drop("__r", "__t", "__node", "__root")
     )
 
 
@@ -99,10 +100,11 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record per recording: each field from the best-ranked row that has a real value."""
     rows = table(spark, sf_dir, "recordings")
-    ranked = grouped(rows.select("*", *_rank()))
+    own = {"row_id", "collected_at", "loaded_at", "group_key", "survivor_row_id", "n_rows", "n_real", "trust"}
+    fields = [c for c in rows.columns if c not in own]
+    ranked = grouped(rows.select("row_id", "collected_at", "loaded_at", *fields, *_rank()))
     # A tuple that sorts as the ranking does; max_by is combined before the shuffle.
     order = F.struct("n_real", "trust", "collected_at", "loaded_at", (-F.col("row_id")).alias("r"))
-    fields = [c for c in rows.columns if c not in ("row_id", "collected_at", "loaded_at")]
     best = [
         F.max_by(F.col(c), F.when(real(F.col(c).cast("string")), order)).alias(c) for c in fields
     ]
