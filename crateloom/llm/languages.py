@@ -203,10 +203,32 @@ class Trees:
                     own_sum, sums[k, lang] = float(sums[k, lang]), np.inf
                     whole = bool(end[s]) or e == b or bool(end[e])
                     found.append((self.langs[lang], int(e - s), float(sums[k].min()) - own_sum, whole))
-            out.append(found)
+            out.append(_joined(found))
         return out
 
 
+def _joined(found: list[tuple[str, int, float, bool]]) -> list[tuple[str, int, float, bool]]:
+    """Passages after names have gone back to the sentence around them.
+
+    A short or doubtful stretch between two passages of one language, or one that touches no sentence end,
+    counts as words of the passage before it; margins are those of the passage's own stretches.
+    """
+    out: list[tuple[str, int, float, bool]] = []
+    for k, (lang, n, margin, whole) in enumerate(found):
+        if out:
+            between = k + 1 < len(found) and found[k + 1][0] == out[-1][0]
+            small = n < MIN_WORDS or margin < MIN_BITS
+            last = out[-1]
+            if lang == last[0]:
+                out[-1] = (lang, last[1] + n, last[2] + margin, last[3] or whole)
+                continue
+            if (small and between) or (n < INNER_WORDS and not whole):
+                out[-1] = (last[0], last[1] + n, last[2], last[3])
+                continue
+        out.append((lang, n, margin, whole))
+    return out
+
+
 def train(docs: DataFrame, langs: list[str]) -> Trees:
     """Trees from at most ``TRAIN_DOCS`` documents of each label, the ones of least hash.
 
