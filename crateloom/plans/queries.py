@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from crateloom.plans import orphan_queries, packed_queries, reference_queries
+from crateloom.plans import orphan_queries, packed_queries, reference_queries, stream_queries
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-for _module in (orphan_queries, packed_queries, reference_queries):
+for _module in (orphan_queries, packed_queries, reference_queries, stream_queries):
     QUERIES |= _module.QUERIES
     SQL |= _module.SQL
