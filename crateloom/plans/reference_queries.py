@@ -195,33 +195,36 @@ def score_weighted(r, t):
     return _pairs(r, t).select("row_id", F.round(S.weighted(scores, {k: S.CATALOG_WEIGHTS[k] for k in scores}), 6).alias("score"))
 
 
-_CAND = rf"""WITH k AS (SELECT DISTINCT {c('recording_id')} AS rid, row_id, lower({c('title')}) AS t, spotify_duration_ms AS ms FROM recordings WHERE {c('title')} <> '' AND {c('recording_id')} <> ''),
-e AS (SELECT a.row_id, b.row_id AS other, round(1 - least(1.0, abs(a.ms - b.ms) / 60000.0), 6) AS score, abs(a.ms - b.ms) AS gap FROM k a JOIN k b ON a.rid = b.rid AND a.row_id <> b.row_id WHERE a.ms IS NOT NULL AND b.ms IS NOT NULL)"""
+_CAND = rf"""WITH d AS (SELECT {c('recording_id')} AS id, min(spotify_duration_ms) AS ms FROM recordings WHERE {c('recording_id')} <> '' AND spotify_duration_ms IS NOT NULL GROUP BY 1),
+g AS (SELECT DISTINCT {c('source_recording_id')} AS source_id, {c('target_recording_id')} AS other FROM relationships),
+e AS (SELECT source_id, other, round(1 - least(1.0, abs(a.ms - b.ms) / 60000.0), 6) AS score, abs(a.ms - b.ms) AS gap FROM g JOIN d a ON a.id = source_id JOIN d b ON b.id = other WHERE source_id <> other)"""
 
 
-def _candidates(r):
-    k = r.where((clean(F.col("title")) != "") & O.key("recording_id").isNotNull() & F.col("spotify_duration_ms").isNotNull()).select(O.key("recording_id").alias("rid"), "row_id", F.col("spotify_duration_ms").alias("ms"))
+def _candidates(r, rel):
+    """Related recordings as candidates of each other, one row per edge, scored by duration."""
+    d = r.where(O.key("recording_id").isNotNull() & F.col("spotify_duration_ms").isNotNull()).groupBy(O.key("recording_id").alias("id")).agg(F.min("spotify_duration_ms").alias("ms"))
+    g = rel.select(O.key("source_recording_id").alias("source_id"), O.key("target_recording_id").alias("other")).where("source_id <> other").distinct()
     gap = F.abs(F.col("ms") - F.col("ms_b"))
-    return k.join(k.select("rid", F.col("row_id").alias("other"), F.col("ms").alias("ms_b")), "rid").where("row_id <> other").select(
-        "row_id", "other", F.round(1 - F.least(F.lit(1.0), gap / 60000.0), 6).alias("score"), gap.alias("gap"))
+    scored = g.join(d.withColumnRenamed("id", "source_id"), "source_id").join(d.select(F.col("id").alias("other"), F.col("ms").alias("ms_b")), "other")
+    return scored.select("source_id", "other", F.round(1 - F.least(F.lit(1.0), gap / 60000.0), 6).alias("score"), gap.alias("gap"))
 
 
-@query("recordings", sql=_CAND + " SELECT row_id, other, score, CAST(rank AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY score DESC, other) AS rank FROM e WHERE score >= 0.45) WHERE rank <= 5")
-def rank_top_candidates(r):
-    return S.ranked(_candidates(r), "row_id", "score", "other").select("row_id", "other", "score", "rank")
+@query("recordings", "relationships", sql=_CAND + " SELECT source_id, other, score, CAST(rank AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY score DESC, other) AS rank FROM e WHERE score >= 0.45) WHERE rank <= 5")
+def rank_top_candidates(r, rel):
+    return S.ranked(_candidates(r, rel), "source_id", "score", "other").select("source_id", "other", "score", "rank")
 
 
-@query("recordings", sql=_CAND + """, m AS (SELECT *, row_number() OVER w AS rank, score - coalesce(lead(score) OVER w, 0) AS margin FROM e WINDOW w AS (PARTITION BY row_id ORDER BY score DESC, other))
-SELECT row_id, other, score, round(margin, 6) AS margin, CASE WHEN score >= 0.85 AND margin >= 0.05 THEN 'matched' WHEN score >= 0.75 THEN 'review' ELSE 'unmatched' END AS decision FROM m WHERE rank = 1""")
-def decide_by_margin(r):
-    best = S.with_margin(_candidates(r), "row_id", "score", "other")
-    return best.select("row_id", "other", "score", F.round("margin", 6).alias("margin"), S.decision(F.col("score"), F.col("margin")).alias("decision"))
+@query("recordings", "relationships", sql=_CAND + """, m AS (SELECT *, row_number() OVER w AS rank, score - coalesce(lead(score) OVER w, 0) AS margin FROM e WINDOW w AS (PARTITION BY source_id ORDER BY score DESC, other))
+SELECT source_id, other, score, round(margin, 6) AS margin, CASE WHEN score >= 0.85 AND margin >= 0.05 THEN 'matched' WHEN score >= 0.75 THEN 'review' ELSE 'unmatched' END AS decision FROM m WHERE rank = 1""")
+def decide_by_margin(r, rel):
+    best = S.with_margin(_candidates(r, rel), "source_id", "score", "other")
+    return best.select("source_id", "other", "score", F.round("margin", 6).alias("margin"), S.decision(F.col("score"), F.col("margin")).alias("decision"))
 
 
-@query("recordings", sql=_CAND + """, q AS (SELECT *, score >= max(score) OVER (PARTITION BY row_id) - 0.03 AS near FROM e)
-SELECT row_id, other, CAST(row_number() OVER (PARTITION BY row_id ORDER BY near DESC, CASE WHEN near THEN gap END ASC NULLS LAST, score DESC, other) AS int) AS rank FROM q""")
-def duration_tiebreak(r):
-    return S.duration_tiebreak(_candidates(r), "row_id", "score", "gap", "other").select("row_id", "other", "rank")
+@query("recordings", "relationships", sql=_CAND + """, q AS (SELECT *, score >= max(score) OVER (PARTITION BY source_id) - 0.03 AS near FROM e)
+SELECT source_id, other, CAST(row_number() OVER (PARTITION BY source_id ORDER BY near DESC, CASE WHEN near THEN gap END ASC NULLS LAST, score DESC, other) AS int) AS rank FROM q""")
+def duration_tiebreak(r, rel):
+    return S.duration_tiebreak(_candidates(r, rel), "source_id", "score", "gap", "other").select("source_id", "other", "rank")
 
 
 # ---- joins
