@@ -12,6 +12,7 @@ from crateloom.runtime import local_session  # noqa: E402
 def spark():
     session = local_session("4", 4)
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set("spark.sql.codegen.wholeStage", "false")  # tiny inputs: compiling costs more than it saves
     yield session
     session.stop()
 
