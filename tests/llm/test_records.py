@@ -82,6 +82,16 @@ def test_names(spark, tmp_path):
     assert got == want
 
 
+def test_near_names_that_both_occur_often(spark, tmp_path):
+    count = {"Henique Hunpipaki": 5, "Henrique Hunpipaki": 8, "Hunpipaki, H.": 1, "Antonio Mavole": 9, "Antonia Mavole": 9}
+    credits = [dict(credit_id=f"{n}{k}", artist_name=n) for n, c in count.items() for k in range(c)]
+    artists = [dict(artist_id=n, canonical_name=n, spotify_artist_id=n[:7]) for n in ("Antonio Mavole", "Antonia Mavole")]
+    want = {tuple(sorted(p)) for p in combinations(list(count)[:3], 2)}
+    for times in (1, 3):
+        path = tables.write(tmp_path / f"t{times}", {"credits": credits * times, "artists": artists})
+        assert {tuple(r) for r in N.p5_found(spark, path).collect()} == want
+
+
 def test_look_alikes(spark, tmp_path):
     plain = ["Domingos Sammadeng", "Тихий ветер", "Café del Mar", "Ήσυχος ουρανός"]
     odd = ["Domingos Sаmmаdeng", "Тихий вет​ер", "Ｃａfé del Mar", "Ήσυχοs ουρανόs".replace("s", "ς").replace("ο", "o", 1)]
