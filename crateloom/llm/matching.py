@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crateloom.functions.text import clean, fold_words
 from crateloom.llm.name_variants import one_edit
@@ -43,7 +44,10 @@ PRIOR, CLIP = -6.0, 30.0
 #: Nats that each further track id of one recording costs.
 EXTRA_TRACK = 1.0
 TOLERANCE, MOST_ROUNDS, DAMPING, ACCEPT = 0.01, 12, 0.3, 0.5
-BUCKET_MS, MOST_TOKENS = 8000, 24
+#: Buckets as wide as the farthest durations that a pair can be accepted with.
+BUCKET_MS, MOST_TOKENS = 10_000, 24
+#: Length from which one slip in each of two titles leaves them one title.
+TWO_SLIPS = 6
 #: Whole tails that are recognised with a slip of the pen.
 PHRASES = ["live", "demo", "dub", "acoustic", "instrumental", "extended mix", "remaster", "remastered", "digital remaster", "mono", "stereo", "single version", "album version", "radio edit"]
 
@@ -126,10 +130,11 @@ SIDE = "id string, core string, version string, edition string, artists array<st
 
 
 def _keys(core: str, version: str, artists: list[str], ms: float | None, album: str, left: bool) -> list[int]:
-    """Blocking keys. Equal titles meet under an artist; titles with a slip also under one token less.
+    """Blocking keys. Equal titles meet under an artist, unequal ones under an artist and a duration.
 
-    The second kind carries the duration in buckets of ``BUCKET_MS``, of which the right side visits
-    three; a half without duration meets all of its artist's near titles through keys of its own.
+    Durations stand in buckets of ``BUCKET_MS``, of which the right side visits three; a half without
+    duration meets all titles of its artist through keys of its own. Titles with slips in one token also
+    meet under an album, equal ones under a duration, whatever their artists.
     """
     tokens = core.split()
     if len(tokens) > MOST_TOKENS:  # a slip stays within one run of tokens
@@ -147,15 +152,14 @@ def _keys(core: str, version: str, artists: list[str], ms: float | None, album:
     if ms is not None:
         b = int(ms // BUCKET_MS)
         near = [b] if left else [b - 1, b, b + 1]
-        out |= {f"d|{a}|{x}|{version}|{n}" for a in artists for x in less for n in near}
+        out |= {f"d|{a}|{version}|{n}" for a in artists for n in near}
         out |= {f"e|{core}|{version}|{int(ms // 2000) + n}" for n in ([0] if left else [-1, 0, 1])}
     for a in artists:
-        for x in less:
-            # w: the left half lacks a duration, and every right half answers; v: the other way round
-            if left and ms is None or not left:
-                out.add(f"w|{a}|{x}|{version}")
-            if not left and ms is None or left:
-                out.add(f"v|{a}|{x}|{version}")
+        # w: the left half lacks a duration, and every right half answers; v: the other way round
+        if left and ms is None or not left:
+            out.add(f"w|{a}|{version}")
+        if not left and ms is None or left:
+            out.add(f"v|{a}|{version}")
     return sorted(_hash(k) for k in out)
 
 
@@ -196,10 +200,33 @@ def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     return a.join(live, "key", "left_semi").join(b, "key").select("l", "r").distinct()
 
 
+def within(a: str, b: str, most: int) -> bool:
+    """Whether at most ``most`` insertions, deletions, substitutions or swaps of neighbours part a and b."""
+    if abs(len(a) - len(b)) > most:
+        return False
+    i = 0
+    while i < min(len(a), len(b)) and a[i] == b[i]:
+        i += 1
+    a, b = a[i:], b[i:]
+    if not a or not b or most == 0:
+        return len(a) + len(b) <= most
+    if most == 1:
+        return one_edit(a, b)
+    return (
+        within(a[1:], b[1:], most - 1) or within(a[1:], b, most - 1) or within(a, b[1:], most - 1)
+        or (a[:2] == b[:2][::-1] and within(a[2:], b[2:], most - 1))
+    )
+
+
+@F.pandas_udf(T.BooleanType())
+def _near(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Titles with one slip, or one in each where both are long enough."""
+    return pd.Series([within(x, y, 2 if min(len(x), len(y)) >= TWO_SLIPS else 1) for x, y in zip(a, b)], dtype="bool")
+
+
 def _unary() -> Column:
     lc, rc = F.col("l_core"), F.col("r_core")
-    slips = F.levenshtein(lc, rc, 2)
-    near = (slips >= 0) & (slips <= F.greatest(F.lit(1), F.least(F.lit(2), F.floor(F.length(lc) / 5))))
+    near = _near(lc, rc)
     digits = F.regexp_replace(lc, r"\D+", " ") == F.regexp_replace(rc, r"\D+", " ")
     title = F.when(lc == rc, TITLE_EQUAL).when(near & digits, TITLE_CLOSE).otherwise(-CLIP)
     shared = F.size(F.array_intersect("l_artists", "r_artists"))
@@ -289,7 +316,9 @@ def match(left: DataFrame, right: DataFrame) -> DataFrame:
     of = lambda side, n: side.drop("keys").select(
         F.col("node").alias(n), *[F.col(c).alias(f"{n}_{c}") for c in ("id", "core", "version", "artists", "ms", "album", "year")]
     ).dropDuplicates([n])
-    scored = pairs.join(of(left, "l"), "l").join(of(right, "r"), "r").withColumn("theta", _unary()).where("theta > -8")
+    # Two swaps are four plain edits; what is farther apart needs no closer look.
+    close = (F.col("l_core") == F.col("r_core")) | (F.levenshtein("l_core", "r_core", 4) >= 0)
+    scored = pairs.join(of(left, "l"), "l").join(of(right, "r"), "r").where(close).withColumn("theta", _unary()).where("theta > -8")
     edges = scored.groupBy(F.col("l_id").alias("left_id"), F.col("r_id").alias("right_id")).agg(F.max("theta").alias("theta"))
     return propagate(edges)
 

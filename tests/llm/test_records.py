@@ -126,6 +126,16 @@ def test_matching(spark, tmp_path):
     assert got == {("R1", "T1"), ("R1", "T2"), ("R2", "T3")}
 
 
+def test_matching_with_slips_in_two_tokens(spark, tmp_path):
+    left = [("R1", "Burning Kithen No 38", "200000"), ("R2", "Silver Lettre", "240000"), ("R3", "Quiet Harbour", None), ("R4", "Burning Kithen No 37", "200000"), ("R5", "Lettre", "300000")]
+    right = [("T1", "Burnning Kitchen No 38", "200100"), ("T2", "Silvver Letter", "240500"), ("T3", "Qiuet Harborr", "90000"), ("T5", "Lettter", "300500"), ("T6", "Silver Border", "240500")]
+    rows = [dict(recording_id=i, whosampled_title=t, whosampled_artist_names="Ana Sol", whosampled_duration_ms=d) for i, t, d in left]
+    rows += [dict(spotify_track_id=i, spotify_title=t, spotify_artist_names="Ana Sol", spotify_duration_ms=d) for i, t, d in right]
+    got = {tuple(r) for r in M.p3_found(spark, tables.write(tmp_path / "t", {"artist_catalog_recordings_parsed": rows})).collect()}
+    assert got == {("R1", "T1"), ("R2", "T2"), ("R3", "T3"), ("R5", "T5")}
+    assert M.within("abcd", "badc", 2) and not M.within("abcdef", "badcfe", 2) and not M.within("abc", "abcdef", 2)
+
+
 def test_belief_of_one_to_one(spark):
     edges = spark.createDataFrame([("a", "x", 6.0), ("b", "x", 2.0), ("b", "y", 1.0)], "left_id string, right_id string, theta double")
     p = {(r.left_id, r.right_id): r.p for r in M.propagate(edges).collect()}
