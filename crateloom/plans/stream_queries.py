@@ -11,7 +11,8 @@ from crateloom.streaming import flows
 
 
 def stream_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flows.available_now(flows.window_counts(flows.source(spark, sf_dir, "events")))
+    """Counts by hour and type, with the windows that are still open when the files end."""
+    return flows.latest(flows.window_counts(flows.source(spark, sf_dir, "events")), ["window_start", "event_type"])
 
 
 def stream_first_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
