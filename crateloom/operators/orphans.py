@@ -1,10 +1,11 @@
 """References to records that do not exist, kept as incremental state.
 
-``OrphanState`` holds two keyed tables: the parent index (first load of every id) and the
-pending orphans. ``step`` takes the rows of one interval of load time: new references probe the
-parent index, arriving parents move waiting orphans to ``later``, deletions move them to
-``deleted`` and reopen references that an earlier step had resolved. A state is written after
-each step, so a step's cost follows the interval and the index, not the history of references.
+``OrphanState`` holds keyed tables: the parent index (first load of every id), the pending
+orphans and, with ``reopen``, the resolved references. ``step`` takes the rows of one interval of
+load time: new references probe the parent index, arriving parents move waiting orphans to
+``later``, deletions move them to ``deleted`` and, with ``reopen``, reopen references that were
+resolved. A state is written after each step; resolved references are only appended, and read by
+the steps that bring deletions.
 
 Null and blank references are no references. A reference without load time is compared with all
 parents and reported under a null month; a parent without load time was always there. Repeated
@@ -13,6 +14,9 @@ rows count once. Empty inputs give an empty result.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,9 +57,15 @@ def deletions(df: DataFrame, id_col: str = "recording_id") -> DataFrame:
 
 
 class OrphanState:
-    """Pending orphans and the parent index after the steps so far."""
+    """Pending orphans and the parent index after the steps so far.
+
+    ``reopen``: a resolved reference becomes an orphan when its parent is deleted, also if the id still has
+    rows. Without it an orphan is a reference whose parent was not there when it was loaded.
+    """
 
-    def __init__(self) -> None:
+    def __init__(self, reopen: bool = False) -> None:
+        self.reopen = reopen
+        self.resolved: list[DataFrame] = []
         self.index: DataFrame | None = None
         self.gone: DataFrame | None = None
         self.pending: DataFrame | None = None
@@ -63,7 +73,7 @@ class OrphanState:
     def step(
         self, refs: DataFrame, new_parents: DataFrame, new_deletions: DataFrame, resolved: DataFrame | None = None
     ) -> "OrphanState":
-        """Advance by one interval. ``resolved``: references of earlier intervals that deletions may reopen."""
+        """Advance by one interval. ``resolved``: references resolved elsewhere that deletions may reopen."""
         fresh = new_parents.groupBy("ref_id").agg(F.min("first_loaded").alias("first_loaded"))
         died = new_deletions.select("ref_id").distinct()
         if self.index is None:
@@ -73,10 +83,17 @@ class OrphanState:
             gone = self.gone.unionByName(died).distinct()
         index, gone = materialize(index), materialize(gone)
 
+        absent = F.col("first_loaded").isNull() | (F.col("first_loaded") > F.coalesce("loaded_at", at(NEVER)))
+        probed = refs.dropDuplicates(REF).join(index, "ref_id", "left")
+        if self.reopen:
+            self.resolved.append(materialize(probed.where(~absent).select(*REF)))
+            if not died.isEmpty() or not gone.isEmpty():
+                # New references meet all deletions, those of earlier steps only the deletions that are new.
+                old = [x.join(died, "ref_id", "left_semi") for x in self.resolved[:-1]]
+                again = reduce(DataFrame.unionByName, old, self.resolved[-1].join(gone, "ref_id", "left_semi"))
+                resolved = again if resolved is None else resolved.unionByName(again)
         waiting = (
-            refs.dropDuplicates(REF)
-            .join(index, "ref_id", "left")
-            .where(F.col("first_loaded").isNull() | (F.col("first_loaded") > F.coalesce("loaded_at", at(NEVER))))
+            probed.where(absent)
             .withColumn("kind", F.when(F.col("first_loaded").isNull(), "missing").otherwise("later"))
             .select(*REF, "kind")
         )
@@ -87,7 +104,7 @@ class OrphanState:
                 self.pending.join(came, "ref_id", "left").withColumn("kind", kind).select(*REF, "kind")
             )
         if resolved is not None:
-            reopened = resolved.join(died, "ref_id", "left_semi").withColumn("kind", F.lit("deleted"))
+            reopened = resolved.join(gone, "ref_id", "left_semi").withColumn("kind", F.lit("deleted"))
             waiting = waiting.unionByName(reopened.select(*REF, "kind")).dropDuplicates(REF)
         dead = gone.withColumn("dead", F.lit(True))
         pending = materialize(
@@ -109,16 +126,28 @@ class OrphanState:
         return self.report().groupBy("table_name", "field_name", "load_month", "kind").agg(F.count("*").alias("n_orphans"))
 
 
-def replay(refs: DataFrame, all_parents: DataFrame, all_deletions: DataFrame, steps: int = 3):
-    """Run a history through ``steps`` equal intervals of load time; yields the state after each.
+def months(refs: DataFrame, all_parents: DataFrame, all_deletions: DataFrame) -> list:
+    """The starts of the calendar months from the second to the last of a history, empty months included."""
+    moments = all_parents.select(F.col("first_loaded").alias("t")).union(refs.select("loaded_at")).union(all_deletions.select("deleted_at"))
+    low, high = moments.where(F.col("t") > at(ALWAYS)).agg(*(f(F.date_trunc("month", "t")).cast("timestamp_ntz") for f in (F.min, F.max))).first()
+    first, last = (0, 0) if low is None else (low.year * 12 + low.month, high.year * 12 + high.month)
+    return [datetime((m - 1) // 12, (m - 1) % 12 + 1, 1) - timedelta(microseconds=1) for m in range(first + 1, last + 1)]
+
+
+def replay(
+    refs: DataFrame, all_parents: DataFrame, all_deletions: DataFrame, steps: int = 3, cuts: list | None = None, reopen: bool = False
+):
+    """Run a history through intervals of load time; yields the state after each.
 
-    Rows that arrive late in file order still fall into the interval of their load time.
+    The intervals end with the moments ``cuts``, or are ``steps`` equal ones. Rows that arrive late in file
+    order still fall into the interval of their load time.
     """
-    low, high = all_parents.select("first_loaded").union(refs.select("loaded_at")).agg(
-        F.min(F.when(F.col("first_loaded") > at(ALWAYS), F.col("first_loaded"))), F.max("first_loaded")
-    ).first()
-    cuts = [] if low is None else [low + (high - low) * k / steps for k in range(1, steps)]
-    state = OrphanState()
+    if cuts is None:
+        low, high = all_parents.select("first_loaded").union(refs.select("loaded_at")).agg(
+            F.min(F.when(F.col("first_loaded") > at(ALWAYS), F.col("first_loaded"))), F.max("first_loaded")
+        ).first()
+        cuts = [] if low is None else [low + (high - low) * k / steps for k in range(1, steps)]
+    state = OrphanState(reopen)
     for k in range(len(cuts) + 1):
         lower = F.lit(cuts[k - 1]).cast("timestamp_ntz") if k else None
         upper = F.lit(cuts[k]).cast("timestamp_ntz") if k < len(cuts) else None

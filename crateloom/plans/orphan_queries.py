@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crateloom.operators.orphans import OrphanState, deletions, parents, references, replay
+from crateloom.operators.orphans import OrphanState, deletions, months, parents, references, replay
 from crateloom.runtime import materialize, table
 
 FIELDS = (
@@ -30,10 +30,11 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The counts after each interval, one snapshot number per interval."""
+    """The counts after each calendar month of the history, numbered from its first; deletions reopen references."""
+    rows = inputs(spark, sf_dir)
     shots = [
         materialize(state.counts().withColumn("snapshot_no", F.lit(k)))
-        for k, state in enumerate(replay(*inputs(spark, sf_dir)), 1)
+        for k, state in enumerate(replay(*rows, cuts=months(*rows), reopen=True), 1)
     ]
     return reduce(DataFrame.unionByName, shots)
 

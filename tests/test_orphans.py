@@ -47,6 +47,21 @@ def test_deletion_reopens_resolved_references(spark):
     assert [r.kind for r in state.pending.collect()] == ["deleted"]
 
 
+def test_snapshots_by_month_reopen_deleted(spark, tmp_path):
+    rows = {
+        "recordings": [dict(row_id=1, recording_id="A", loaded_at=day(65)), dict(row_id=2, recording_id="B", loaded_at=day(0))],
+        "deleted_recordings": [dict(recording_id="B", deleted_at=day(95))],
+        "credits": [dict(credit_id="1", recording_id="A", loaded_at=day(2)), dict(credit_id="2", recording_id="B", loaded_at=day(3))],
+    }
+    path = tables.write(tmp_path / "t", rows)
+    start = day(2).strftime("%Y-%m")
+    got = {(r.snapshot_no, r.load_month, r.kind, r.n_orphans) for r in Q.p6_snapshots(spark, path).collect()}
+    month = lambda k: day(k).year * 12 + day(k).month - day(0).year * 12 - day(0).month + 1
+    waiting = {(m, start, "missing", 1) for m in range(1, month(65))}
+    assert got == waiting | {(m, start, "later", 1) for m in range(month(65), month(95) + 1)} | {(month(95), start, "deleted", 1)}
+    assert [r.kind for r in Q.p6_found(spark, path).collect()] == ["later"]
+
+
 @pytest.mark.parametrize("kind", ["empty", "awkward"])
 def test_awkward_tables(spark, inputs, kind):
     for q in Q.QUERIES.values():
