@@ -92,32 +92,44 @@ def playlist_membership(t):
 def title_identity(a: Column, b: Column, terms_a: Column, terms_b: Column, base_a: Column, base_b: Column, full: Column, base: Column) -> Column:
     """Equal folded titles 1; equal bases 1, else the better of base and full ratio, 0.92 at least where one holds
     the other; differing version terms cost 0.18, 0.20 or 0.25, stacked; within 0 and 1."""
-    contained = (a != "") & (b != "") & (F.contains(a, b) | F.contains(b, a))
+    contained = (base_a != "") & (base_b != "") & (F.contains(base_a, base_b) | F.contains(base_b, base_a))
     plain = F.when(base_a == base_b, 1.0).otherwise(F.greatest(base, full))
     plain = F.when(contained, F.greatest(plain, F.lit(0.92))).otherwise(plain)
     na, nb = F.size(terms_a), F.size(terms_b)
     apart = F.size(F.array_intersect(terms_a, terms_b)) == 0
-    penalty = F.when((na > 0) & (nb == 0), 0.18).when((na == 0) & (nb > 0), 0.18).when((na > 0) & (nb > 0) & apart, 0.45).otherwise(0.0)
-    return F.when(a == b, F.when(a == "", 0.0).otherwise(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), plain - penalty)))
+    penalty = F.when((na > 0) & (nb == 0), 0.20).when((na == 0) & (nb > 0), 0.18).when((na > 0) & (nb > 0) & apart, 0.45).otherwise(0.0)
+    return F.when((a == "") | (b == ""), 0.0).when(a == b, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), plain - penalty)))
 
 
 @query("artist_catalog_recordings_parsed")
 def resolution_scores(p):
-    """Weighted resolution score of the halves that stand in one row, with the decision."""
+    """Weighted resolution score of the halves that stand in one row, with the decision.
+
+    An unknown year scores 0; a year that differs costs 0.15, a version that only the track has 0.12, versions that
+    differ 0.15. The first branch that holds decides.
+    """
+    title_year = lambda x: F.nullif(F.regexp_extract(x, r"\b((?:19|20)\d{2})\b", 1), F.lit(""))
     rows = p.where(O.key("spotify_title").isNotNull() & O.key("whosampled_title").isNotNull()).select(
         "recording_id", "spotify_track_id", fold_ascii_udf("whosampled_title").alias("a"), fold_ascii_udf("spotify_title").alias("b"),
         O.split_list(F.lower(F.col("whosampled_artist_names"))).alias("na"), O.split_list(F.lower(F.col("spotify_artist_names"))).alias("nb"),
-        TT.year_of(F.col("whosampled_release_year")).alias("ya"), TT.year_of(F.col("spotify_album_release_date")).alias("yb")).distinct()
+        TT.year_of(F.col("whosampled_release_year")).alias("ya"), TT.year_of(F.col("spotify_album_release_date")).alias("yb"),
+        title_year("whosampled_title").alias("tya"), title_year("spotify_title").alias("tyb")).distinct()
     rows = rows.withColumns({"base_a": TT.title_base(F.col("a")), "base_b": TT.title_base(F.col("b")), "ta": TT.version_terms(F.col("a")), "tb": TT.version_terms(F.col("b"))})
     rows = rows.withColumns({"full": S.ratio_udf("a", "b"), "base": S.ratio_udf("base_a", "base_b"), "artist": S.best_name_udf("na", "nb"), "mutual": S.both_ways_udf("na", "nb")})
     title = title_identity(*[F.col(x) for x in ("a", "b", "ta", "tb", "base_a", "base_b", "full", "base")])
     year = S.year_score(F.col("ya"), F.col("yb"), S.YEAR_B)
     rows = rows.withColumns({"title": title, "year": year})
-    conflict = F.coalesce(F.abs(F.col("ya") - F.col("yb")) > 1, F.lit(False))
-    score = F.greatest(F.lit(0.0), S.weighted({k: F.col(k) for k in S.RESOLUTION_WEIGHTS}, S.RESOLUTION_WEIGHTS) - F.when(conflict, 0.15).otherwise(0.0))
+    known = {k: F.coalesce(F.col(k), F.lit(0.0)) for k in S.RESOLUTION_WEIGHTS}
+    na, nb = F.size("ta"), F.size("tb")
+    versions = (na > 0) & (nb > 0) & (F.size(F.array_intersect("ta", "tb")) == 0)
+    penalty = F.when(F.col("ya") != F.col("yb"), 0.15).otherwise(0.0) + F.when((na == 0) & (nb > 0), 0.12).when(versions, 0.15).otherwise(0.0)
+    score = F.greatest(F.lit(0.0), S.weighted(known, S.RESOLUTION_WEIGHTS) - penalty)
+    strong = (F.col("title") >= 0.98) & (F.col("artist") >= 0.95)
+    title_years = F.coalesce(F.col("tya") != F.col("tyb"), F.lit(False))
     decision = (
-        F.when((F.col("title") >= 0.98) & (F.col("artist") >= 0.95) & (F.col("ya") == F.col("yb")), "matched")
-        .when(F.col("ya") != F.col("yb"), "review").when(F.col("score") >= 0.70, "review").otherwise("unmatched"))
+        F.when(strong & (F.col("ya") == F.col("yb")) & ~title_years & ~versions, "matched")
+        .when(F.col("ya") != F.col("yb"), "review").when(title_years, "review").when(versions, "unmatched")
+        .when((F.col("ya").isNull() | F.col("yb").isNull()) & strong, "review").when(F.col("score") >= 0.70, "review").otherwise("unmatched"))
     return rows.withColumn("score", F.round(score, 6)).select("recording_id", "spotify_track_id", F.round("title", 6).alias("title_score"), F.round("artist", 6).alias("artist_score"),
                                                             F.round("mutual", 6).alias("mutual_score"), "score", decision.alias("decision"))
 
