@@ -7,8 +7,13 @@ code length of its values plus the cost of the dialect and its splits, and the s
 Value codes come from the whole corpus: the spans between delimiters are counted over all distinct
 fields (map-side combined), joined with the known names and turned into code lengths. A value costs
 -log2 of its share plus, unless it is a known name, its spelling divided by the number of fields
-that share it (a dictionary entry is paid once). A span over inactive delimiters is a candidate
-when it holds no more delimiters than the longest known name does.
+that share it (a dictionary entry is paid once). A span over delimiters is a candidate when a known
+name begins as it does and holds as many delimiters; the beginnings travel as a filter of
+``FILTER_BITS`` bits, whose false hits only add candidates.
+
+The cheapest set of active delimiters is found by branch and bound over the classes that occur: a set
+that is decided in part is bounded from below by the parse that may cut or keep at every undecided
+delimiter. A JSON array of texts is one more dialect, priced like the others.
 
 Null and blank fields give no value; pieces that are empty or only quotes and delimiters are not
 values. A field that is one value gives one row. Malformed quotes and JSON are read literally.
@@ -19,8 +24,9 @@ from __future__ import annotations
 import json
 import math
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, combinations
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -47,7 +53,10 @@ _DELIMITER = re.compile("|".join(f"(?P<{k}>{v})" for k, v in DELIMITERS.items())
 #: Bits that an unknown value pays for holding a delimiter unsplit, and that a split costs.
 KEEP_BITS = {"comma": 16, "semicolon": 20, "pipe": 20, "slash": 12, "feat": 20, "versus": 16, "ampersand": 9, "plus": 12, "dot": 16, "times": 14, "with": 12, "and": 8}
 SPLIT_BITS, EMPTY_BITS, CLASS_BITS, QUOTE_BITS, LETTER_BITS, NEW_BITS = 1.0, 2.0, 2.0, 1.0, 5.0, 3.0
-EXACT_CLASSES = 6
+#: Size of the filter of the beginnings of known names that hold delimiters.
+FILTER_BITS = 1 << 20
+#: Characters by which known values over several pieces are looked up.
+HEAD = 6
 
 
 def _value(raw: str, quoted: bool) -> str:
@@ -108,19 +117,24 @@ def _modes(text: str) -> list[bool]:
     return [True, False] if '"' in text else [False]
 
 
-def spans(text: str, widest: int) -> set[str]:
-    """Candidate values: spans of at most ``widest`` inner delimiters in every quoting dialect."""
-    found = _json_values(text)
-    if found is not None:
-        return set(found)
-    out = set()
+def _slot(atom: str, width: int) -> int:
+    return zlib.crc32(f"{width} {atom}".encode("utf-8", "replace")) % FILTER_BITS
+
+
+def spans(text: str, widths, starts=None) -> set[str]:
+    """Candidate values in every quoting dialect: single pieces, and spans of as many delimiters as known names hold.
+
+    ``widths`` are the numbers of delimiters, or the greatest one; ``starts`` limits these spans to those that begin
+    as a known name of that number of delimiters does.
+    """
+    widths = range(1, widths + 1) if isinstance(widths, int) else widths
+    out = set(_json_values(text) or ())
     for quoted in _modes(text):
         pieces, _ = _atoms(text, quoted)
-        for i, (a, _) in enumerate(pieces):
-            for _, b in pieces[i : i + widest + 1]:
-                value = _value(text[a:b], quoted)
-                if value:
-                    out.add(value)
+        for i, (a, end) in enumerate(pieces):
+            first = text[a:end].strip()
+            ends = [end] + [pieces[i + w][1] for w in widths if i + w < len(pieces) and (starts is None or starts[_slot(first, w)])]
+            out.update(v for b in ends if (v := _value(text[a:b], quoted)))
     return out
 
 
@@ -131,67 +145,127 @@ def _cost(value: str, bits: dict[str, float], kept: list[str], unit: float) -> f
     return unit + NEW_BITS + LETTER_BITS * len(value) + sum(KEEP_BITS[k] for k in kept)
 
 
-def _parse(text: str, quoted: bool, active: frozenset, atoms, bits, widest: int, unit: float) -> tuple[float, list[str]]:
-    """Shortest parse under one dialect; several pieces may join only into a known value."""
-    pieces, classes = atoms
-    cut = [k in active for k in classes]
-    best: list[tuple[float, int, str]] = [(0.0, 0, "")]
-    for j in range(1, len(pieces) + 1):
-        options = []
-        if j == len(pieces) or cut[j - 1]:
-            i, hard = j - 1, True
-            while i >= 0:
-                if (i == 0 or cut[i - 1]) and best[i] is not None:
-                    value = _value(text[pieces[i][0] : pieces[j - 1][1]], quoted)
-                    inner = classes[i : j - 1]
-                    if not value:
-                        cost = EMPTY_BITS
-                    elif hard or (len(inner) <= widest and value in bits):
-                        cost = _cost(value, bits, inner, unit)
-                    else:
-                        cost = math.inf
-                    if cost < math.inf:
-                        options.append((best[i][0] + cost + SPLIT_BITS * (i > 0), i, value))
-                    hard = False
-                    if j - 1 - i >= widest:
-                        break
-                i -= 1
-        best.append(min(options) if options else None)
-    values, j = [], len(pieces)
-    while j > 0:
-        _, i, value = best[j]
-        if value:
-            values.append(value)
-        j = i
-    dialect = CLASS_BITS * len(active) + QUOTE_BITS * quoted
-    return best[-1][0] + dialect, values[::-1]
+class _Field:
+    """One field in one quoting dialect: its pieces, and the known values that end at each of them."""
+
+    def __init__(self, text: str, quoted: bool, bits: dict[str, float], unit: float, widest: int):
+        self.text, self.quoted, self.bits, self.unit = text, quoted, bits, unit
+        self.pieces, self.classes = _atoms(text, quoted)
+        values = [_value(text[a:b], quoted) for a, b in self.pieces]
+        self.values = values
+        #: For every end the known values as (first piece, cost, value).
+        self.known: list[list[tuple[int, float, str]]] = [[] for _ in range(len(self.pieces) + 1)]
+        for i, value in enumerate(values):
+            if value in bits:
+                self.known[i + 1].append((i, bits[value], value))
+        # Values over several pieces are found by their first characters.
+        lengths: dict[str, set[int]] = {}
+        for value in bits:
+            lengths.setdefault(value[:HEAD], set()).add(len(value))
+        ends = {b: j for j, (_, b) in enumerate(self.pieces, 1)}
+        if self.pieces:
+            ends[len(text[: self.pieces[-1][1]].rstrip())] = len(self.pieces)
+        for i, (a, b) in enumerate(self.pieces):
+            a += len(text[a:b]) - len(text[a:b].lstrip())
+            near = {n for k in range(1, HEAD + 1) for n in lengths.get(text[a : a + k], ()) if k == HEAD or n == k}
+            for n in near:
+                j = ends.get(a + n)
+                if j is not None and i + 1 < j <= i + 1 + widest and (value := text[a : a + n]) in bits:
+                    self.known[j].append((i, bits[value], value))
+        #: What a piece adds at least to the spelling of an unknown value.
+        self.letters = [LETTER_BITS * len(text[a:b].replace('"', "").replace("\\", "").strip()) for a, b in self.pieces]
+
+    def bound(self, state: dict[str, bool]) -> float:
+        """The least that any set costs that agrees with ``state``; classes that are not in it are open."""
+        n, inf = len(self.pieces), math.inf
+        cut, run = [0.0] + [inf] * n, inf  # at a cut; within an unknown value
+        for j in range(1, n + 1):
+            before = cut[j - 1]
+            fee = SPLIT_BITS * (j > 1)
+            if j > 1 and state.get(self.classes[j - 2]) is True:
+                run = inf  # an unknown value ends at an active delimiter
+            run = min(run + (KEEP_BITS[self.classes[j - 2]] if j > 1 else 0.0), before + fee + self.unit + NEW_BITS) + self.letters[j - 1]
+            if j < n and state.get(self.classes[j - 1]) is False:
+                continue
+            best = min(run, before + fee + EMPTY_BITS if not self.values[j - 1] else inf)
+            for i, cost, _ in self.known[j]:
+                best = min(best, cut[i] + cost + SPLIT_BITS * (i > 0))
+            cut[j] = best
+        return cut[n] + CLASS_BITS * sum(state.values()) + QUOTE_BITS * self.quoted
+
+    def parse(self, active: frozenset) -> tuple[float, list[str]]:
+        """Shortest parse under one dialect; several pieces may join over an active delimiter only into a known value."""
+        n, text = len(self.pieces), self.text
+        cut = [k in active for k in self.classes]
+        best: list[tuple[float, int, str] | None] = [(0.0, 0, "")]
+        last = 0  # the last active cut before the piece at hand
+        for j in range(1, n + 1):
+            if j > 1 and cut[j - 2]:
+                last = j - 1
+            if j < n and not cut[j - 1]:
+                best.append(None)
+                continue
+            value = self.values[j - 1] if last == j - 1 else _value(text[self.pieces[last][0] : self.pieces[j - 1][1]], self.quoted)
+            cost = _cost(value, self.bits, self.classes[last : j - 1], self.unit) if value else EMPTY_BITS
+            options = [(best[last][0] + cost + SPLIT_BITS * (last > 0), last, value)]
+            options += [(best[i][0] + c + SPLIT_BITS * (i > 0), i, v) for i, c, v in self.known[j] if best[i] is not None]
+            best.append(min(options))
+        values, j = [], n
+        while j > 0:
+            _, i, value = best[j]
+            if value:
+                values.append(value)
+            j = i
+        return best[-1][0] + CLASS_BITS * len(active) + QUOTE_BITS * self.quoted, values[::-1]
 
 
 def cheapest(text: str, bits: dict[str, float], widest: int, unit: float) -> list[str]:
-    """Parse one field with its cheapest dialect."""
-    found = _json_values(text)
-    if found is not None:
-        return found
-    options = []
+    """Parse one field with its cheapest dialect; ties go to fewer values, then to the lesser ones."""
+    best: tuple[float, int, list[str]] = (math.inf, 0, [])
+    listed = _json_values(text)
+    if listed is not None:
+        cost = sum(_cost(v, bits, [], unit) for v in listed) + SPLIT_BITS * max(0, len(listed) - 1) + QUOTE_BITS
+        best = (cost, len(listed), listed)
     for quoted in _modes(text):
-        atoms = _atoms(text, quoted)
-        present = sorted(set(atoms[1]))
-
-        def length(active):
-            return (*_parse(text, quoted, frozenset(active), atoms, bits, widest, unit), sorted(active))
-
-        if len(present) <= EXACT_CLASSES:
-            sets = chain.from_iterable(combinations(present, n) for n in range(len(present) + 1))
-            options += [length(s) for s in sets]
-        else:  # descent over the sets, one class at a time
-            here = length(present)
-            while True:
-                near = [length(set(here[2]) ^ {k}) for k in present]
-                if min(near)[0] >= here[0]:
-                    break
-                here = min(near)
-            options.append(here)
-    return min(options, key=lambda o: (o[0], len(o[1]), o[1]))[1]
+        field = _Field(text, quoted, bits, unit, widest)
+        order = [k for k, _ in Counter(field.classes).most_common()]
+        stack: list[tuple[float, dict[str, bool]]] = [(0.0, {})]
+        while stack:
+            bound, state = stack.pop()
+            if bound > best[0] + 1e-9:
+                continue
+            if len(state) == len(order):
+                cost, values = field.parse(frozenset(k for k, on in state.items() if on))
+                best = min(best, (cost, len(values), values))
+                continue
+            children = [state | {order[len(state)]: on} for on in (False, True)]
+            if len(children[0]) < len(order):
+                stack += sorted(((field.bound(c), c) for c in children), key=lambda x: -x[0])
+            else:
+                stack += [(bound, c) for c in children]
+    return best[2]
+
+
+def _starts(names: DataFrame) -> tuple[list[int], bytearray]:
+    """The numbers of delimiters in known names, and the filter of the beginnings of names that have any."""
+
+    def slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = set()
+            for name in b["value"]:
+                pieces, classes = _atoms(name, False)
+                if classes:
+                    out |= {("slot", _slot(name[pieces[0][0] : pieces[0][1]].strip(), len(classes))), ("width", len(classes))}
+            yield pd.DataFrame(sorted(out), columns=["what", "n"])
+
+    starts, widths = bytearray(FILTER_BITS), []
+    # At most FILTER_BITS rows and one for each number of delimiters, whatever the number of names.
+    for r in names.mapInPandas(slots, "what string, n int").distinct().toLocalIterator():
+        if r.what == "slot":
+            starts[r.n] = 1
+        else:
+            widths.append(r.n)
+    return sorted(widths), starts
 
 
 def split_values(fields: DataFrame, known: DataFrame) -> DataFrame:
@@ -207,15 +281,13 @@ def split_values(fields: DataFrame, known: DataFrame) -> DataFrame:
     )
     names = materialize(known.select(F.trim("name").alias("value")).where(F.col("value") != "").distinct())
 
-    def widths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"n": [len(_atoms(v, False)[1]) for v in b["value"]]})
-
-    widest = names.mapInPandas(widths, "n int").agg(F.max("n")).first()[0] or 0
+    widths, starts = _starts(names)
+    widest = max(widths, default=0)
+    sent = fields.sparkSession.sparkContext.broadcast(starts)
 
     def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(i, v) for i, t in zip(b["text_id"], b["text"]) for v in spans(t, widest)]
+            rows = [(i, v) for i, t in zip(b["text_id"], b["text"]) for v in spans(t, widths, sent.value)]
             yield pd.DataFrame(rows, columns=["text_id", "value"])
 
     cand = materialize(texts.mapInPandas(candidates, "text_id string, value string"))

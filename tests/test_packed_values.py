@@ -1,8 +1,11 @@
+import random
+from itertools import chain, combinations
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from crateloom.operators.packed_values import cheapest, spans
+from crateloom.operators.packed_values import _Field, _modes, cheapest, spans
 from crateloom.plans import packed_queries as Q
 from tests import tables
 
@@ -30,6 +33,37 @@ def test_round_trip(names, sep):
     assert set(names) <= spans(packed, 3)
 
 
+def test_branch_and_bound_is_exact():
+    """Against all sets of delimiters, with up to all twelve kinds in one field."""
+    rnd = random.Random(8)
+    seps = [", ", "; ", " | ", "/", " feat. ", " vs ", " & ", " + ", " · ", " x ", " with ", " and "]
+    names = [*KNOWN, "Zed", "Q", "Yan Unheard", "", '"Al"']
+    for n in [1, 2, 3, 5, 8, 12, 14] * 6:
+        text = rnd.choice(names) + "".join(rnd.choice(seps) + rnd.choice(names) for _ in range(n))
+        best = []
+        for quoted in _modes(text):
+            field = _Field(text, quoted, KNOWN, 12.0, 3)
+            kinds = sorted(set(field.classes))
+            for chosen in chain.from_iterable(combinations(kinds, k) for k in range(len(kinds) + 1)):
+                cost, values = field.parse(frozenset(chosen))
+                best.append((cost, len(values), values))
+        assert cheapest(text, KNOWN, 3, 12.0) == min(best)[2], text
+
+
+def test_json_is_priced_like_other_dialects():
+    assert cheapest('["Ann Lee", "Bob Ray"]', KNOWN, 3, 12.0) == ["Ann Lee", "Bob Ray"]
+    assert cheapest('["Ann Lee"]', {**KNOWN, '["Ann Lee"]': 1.0}, 3, 12.0) == ['["Ann Lee"]']
+
+
+def test_a_corrupt_known_name_adds_no_spans_elsewhere():
+    from crateloom.operators.packed_values import FILTER_BITS, _slot
+
+    starts = bytearray(FILTER_BITS)
+    starts[_slot("X", 50)] = 1
+    assert spans("Ann, Bob, Cy", [50], starts) == {"Ann", "Bob", "Cy"}
+    assert spans("X" + ", Y" * 50, [50], starts) == {"X", "Y", "X" + ", Y" * 50}
+
+
 def test_long_field():
     assert cheapest("Ann Lee, " * 2000, KNOWN, 3, 12.0) == ["Ann Lee"] * 2000
 
