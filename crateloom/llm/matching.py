@@ -4,10 +4,14 @@ The halves are brought to comparable attributes (core title, version, artists, m
 year, edition), candidates come from joins on composed keys, and each candidate pair gets the
 log-odds of its attributes. One-to-one factors tie the pairs: a half of the right source belongs to
 at most one recording; a recording pays for each further half, for it may have several track ids.
-Messages go through grouped sums and joins until none changes
-by more than ``TOLERANCE``; the belief of a pair is its marginal match probability.
-
-Titles that differ in version, part or number are no candidates. Missing attributes weigh nothing.
+Messages go through grouped sums and joins until none changes by more than ``TOLERANCE``, under more
+damping the longer it takes; ``FEWEST_HOPES`` rounds without that are an error, never a result. The belief
+of a pair is its marginal match probability.
+
+Every pair of one artist whose titles are near has a key in common: a title is cut into three segments
+with a letter between them, so two slips, swaps included, leave one segment whole, at most two letters
+from its place. Titles that differ in version, part or number are no candidates; all other pairs that
+share a key are edges, however unlikely. Missing attributes weigh nothing.
 Exact repeated halves count once; halves without title are left out, empty inputs give no pairs.
 """
 
@@ -43,9 +47,9 @@ ALBUM_EQUAL, ALBUM_APART = 3.0, -0.7
 PRIOR, CLIP = -6.0, 30.0
 #: Nats that each further track id of one recording costs.
 EXTRA_TRACK = 1.0
-TOLERANCE, MOST_ROUNDS, DAMPING, ACCEPT = 0.01, 12, 0.3, 0.5
-#: Buckets as wide as the farthest durations that a pair can be accepted with.
-BUCKET_MS, MOST_TOKENS = 10_000, 24
+TOLERANCE, FEWEST_HOPES, DAMPING, ACCEPT = 0.01, 200, 0.3, 0.5
+#: Slips that near titles may have, the segments that prove them, and the halves of one key that a task meets.
+SLIPS, SEGMENTS, BLOCK_HALVES = 2, 3, 2000
 #: Length from which one slip in each of two titles leaves them one title.
 TWO_SLIPS = 6
 #: Whole tails that are recognised with a slip of the pen.
@@ -129,37 +133,65 @@ def milliseconds(*values: str | None) -> float | None:
 SIDE = "id string, core string, version string, edition string, artists array<string>, ms double, album string, year int, keys array<long>"
 
 
-def _keys(core: str, version: str, artists: list[str], ms: float | None, album: str, left: bool) -> list[int]:
-    """Blocking keys. Equal titles meet under an artist, unequal ones under an artist and a duration.
+def _segments(length: int) -> list[tuple[int, int]]:
+    """(start, end) of the segments of a title, one letter apart; none where it is too short for them."""
+    room = length - (SEGMENTS - 1)
+    if room < SEGMENTS:
+        return []
+    out, at = [], 0
+    for k in range(SEGMENTS):
+        size = room // SEGMENTS + (k >= SEGMENTS - room % SEGMENTS)
+        out.append((at, at + size))
+        at += size + 1
+    return out
+
+
+def _pieces(core: str, left: bool) -> set[str]:
+    """What near titles share: segments on the left, the same places and their neighbours on the right."""
+    n, out = len(core), set()
+    if left:
+        out = {f"{n}.{k}.{core[a:b]}" for k, (a, b) in enumerate(_segments(n))}
+        return out or {"short"}
+    for length in range(n - SLIPS, n + SLIPS + 1):
+        cuts = _segments(length)
+        if not cuts and length >= 0:
+            out.add("short")
+        apart = n - length
+        for k, (a, b) in enumerate(cuts):
+            # at most k slips lie before the first whole segment, and the rest behind it
+            for at in range(max(a - k, a + apart - (SLIPS - k), 0), min(a + k, a + apart + SLIPS - k) + 1):
+                if at + b - a <= n:
+                    out.add(f"{length}.{k}.{core[at : at + b - a]}")
+    return out
+
+
+def _less_one(tokens: list[str]) -> set[int]:
+    """A number for each way to leave out one token, from rolling sums, so any length takes linear time."""
+    prime, base = (1 << 61) - 1, 1_000_003
+    values = [_hash(t) % prime for t in tokens]
+    power, tail = [1], [0]
+    for v in reversed(values):
+        tail.append((v * power[-1] + tail[-1]) % prime)
+        power.append(power[-1] * base % prime)
+    out, head, n = set(), 0, len(tokens)
+    for i, v in enumerate(values):
+        out.add((head * power[n - 1 - i] + tail[n - 1 - i]) % prime)
+        head = (head * base + v) % prime
+    return out
 
-    Durations stand in buckets of ``BUCKET_MS``, of which the right side visits three; a half without
-    duration meets all titles of its artist through keys of its own. Titles with slips in one token also
-    meet under an album, equal ones under a duration, whatever their artists.
-    """
+
+def _keys(core: str, version: str, artists: list[str], ms: float | None, album: str, left: bool) -> list[int]:
+    """Blocking keys. Near titles meet under each artist; whatever their artists, titles with a slip in one token
+    meet under an album and equal ones under a duration, of which the right side visits three."""
     tokens = core.split()
-    if len(tokens) > MOST_TOKENS:  # a slip stays within one run of tokens
-        step = -(-len(tokens) // MOST_TOKENS)
-        tokens = [" ".join(tokens[i : i + step]) for i in range(0, len(tokens), step)]
     version = "|".join(v.partition(":")[0] for v in version.split("|"))
-    if len(tokens) > 1:
-        less = {" ".join(tokens[:i] + tokens[i + 1 :]) for i in range(len(tokens))}
-    else:
-        half = (len(core) + 1) // 2
-        less = {core[:half] + "*", "*" + core[half:]}
-    out = {f"t|{a}|{core}|{version}" for a in artists}
+    out = {f"s|{a}|{version}|{x}" for a in artists for x in _pieces(core, left)}
     if album:
+        half = (len(core) + 1) // 2
+        less = _less_one(tokens) if len(tokens) > 1 else {core[:half] + "*", "*" + core[half:]}
         out |= {f"b|{album}|{x}|{version}" for x in less}
     if ms is not None:
-        b = int(ms // BUCKET_MS)
-        near = [b] if left else [b - 1, b, b + 1]
-        out |= {f"d|{a}|{version}|{n}" for a in artists for n in near}
         out |= {f"e|{core}|{version}|{int(ms // 2000) + n}" for n in ([0] if left else [-1, 0, 1])}
-    for a in artists:
-        # w: the left half lacks a duration, and every right half answers; v: the other way round
-        if left and ms is None or not left:
-            out.add(f"w|{a}|{version}")
-        if not left and ms is None or left:
-            out.add(f"v|{a}|{version}")
     return sorted(_hash(k) for k in out)
 
 
@@ -193,11 +225,13 @@ def _side(rows: DataFrame, left: bool) -> DataFrame:
 
 def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     """Distinct (l, r) node pairs that share a key; nodes are numbered per distinct half."""
-    # Row-count thresholds would drop cases, so hot keys are left to the split of skewed joins.
     a = left.select(F.col("node").alias("l"), F.explode("keys").alias("key"))
     b = right.select(F.col("node").alias("r"), F.explode("keys").alias("key"))
-    live = b.select("key").distinct()
-    return a.join(live, "key", "left_semi").join(b, "key").select("l", "r").distinct()
+    # A hot key is cut into blocks on the right, which its halves on the left visit in tasks of their own.
+    live = b.groupBy("key").agg(F.ceil(F.count("*") / F.lit(BLOCK_HALVES)).cast("int").alias("blocks"))
+    a = a.join(live, "key").select("l", "key", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"))
+    b = b.join(live, "key").select("r", "key", F.pmod(F.xxhash64("r"), F.col("blocks")).cast("int").alias("block"))
+    return a.join(b, ["key", "block"]).select("l", "r").distinct()
 
 
 def within(a: str, b: str, most: int) -> bool:
@@ -225,10 +259,11 @@ def _near(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def _unary() -> Column:
+    """Log-odds of a pair by its attributes; null where titles or versions make it no candidate."""
     lc, rc = F.col("l_core"), F.col("r_core")
     near = _near(lc, rc)
     digits = F.regexp_replace(lc, r"\D+", " ") == F.regexp_replace(rc, r"\D+", " ")
-    title = F.when(lc == rc, TITLE_EQUAL).when(near & digits, TITLE_CLOSE).otherwise(-CLIP)
+    title = F.when(lc == rc, TITLE_EQUAL).when(near & digits, TITLE_CLOSE)
     shared = F.size(F.array_intersect("l_artists", "r_artists"))
     whole = F.array_sort("l_artists") == F.array_sort("r_artists")
     artist = (
@@ -248,12 +283,12 @@ def _unary() -> Column:
     years = F.abs(F.col("l_year") - F.col("r_year"))
     year = F.when(years.isNull(), 0.0).when(years <= 1, 1.5).when(years <= 3, 0.3).otherwise(-0.7)
     named = F.levenshtein("l_version", "r_version", 2)
-    version = F.when(named == 0, 0.0).when(named > 0, -1.0).otherwise(-CLIP)
+    version = F.when(named == 0, 0.0).when(named > 0, -1.0)
     odds = F.lit(PRIOR) + version + title + artist + duration + album + year
-    return F.greatest(F.lit(-CLIP), F.least(F.lit(CLIP), odds))
+    return F.when(odds.isNotNull(), F.greatest(F.lit(-CLIP), F.least(F.lit(CLIP), odds)))
 
 
-def _factor(edges: DataFrame, key: str, inward: str, out: str, extra: float | None) -> DataFrame:
+def _factor(edges: DataFrame, key: str, inward: str, out: str, extra: float | None, damping: float = DAMPING) -> DataFrame:
     """The message of a factor to each of its pairs, from what the other pairs claim.
 
     ``extra`` None: at most one pair is true. Otherwise each true pair beyond the first costs ``extra``
@@ -269,23 +304,27 @@ def _factor(edges: DataFrame, key: str, inward: str, out: str, extra: float | No
         fresh = -F.log1p(rest)
     else:
         fresh = F.when(rest > CLIP, F.lit(-extra)).otherwise(rest - F.log1p(F.exp(F.lit(extra)) * F.expm1(rest)))
-    return edges.join(total, key).withColumn(out, F.lit(1 - DAMPING) * fresh + F.lit(DAMPING) * F.col(out)).drop("claims")
+    return edges.join(total, key).withColumn(out, F.lit(1 - damping) * fresh + F.lit(damping) * F.col(out)).drop("claims")
 
 
 def propagate(edges: DataFrame) -> DataFrame:
     """Marginals of (left_id, right_id, theta) edges under both factors, as column ``p``."""
     state = materialize(edges.withColumn("from_r", F.lit(0.0)).withColumn("from_l", F.lit(0.0)))
-    for _ in range(MOST_ROUNDS):
+    for k in range(FEWEST_HOPES):
+        damping = 1 - (1 - DAMPING) * 0.95 ** max(0, k - 10)
         before = state.withColumn("was", F.col("from_r") + F.col("from_l"))
-        sent = _factor(_factor(before, "right_id", "from_l", "from_r", None), "left_id", "from_r", "from_l", EXTRA_TRACK)
+        sent = _factor(_factor(before, "right_id", "from_l", "from_r", None, damping), "left_id", "from_r", "from_l", EXTRA_TRACK, damping)
         nxt = materialize(sent)
         moved = nxt.agg(F.max(F.abs(F.col("from_r") + F.col("from_l") - F.col("was")))).first()[0] or 0.0
         release(state)
         state = nxt
-        if moved < TOLERANCE:
+        # a damped step is so much shorter than the way that is left
+        if moved < TOLERANCE * (1 - damping) / (1 - DAMPING):
             break
         state = nxt.drop("was")
         state._scratch_path = nxt._scratch_path
+    else:
+        raise RuntimeError(f"beliefs still move by {moved} after {FEWEST_HOPES} rounds")
     belief = F.col("theta") + F.col("from_r") + F.col("from_l")
     return state.withColumn("p", 1 / (1 + F.exp(-belief))).select("left_id", "right_id", "p")
 
@@ -318,7 +357,7 @@ def match(left: DataFrame, right: DataFrame) -> DataFrame:
     ).dropDuplicates([n])
     # Two swaps are four plain edits; what is farther apart needs no closer look.
     close = (F.col("l_core") == F.col("r_core")) | (F.levenshtein("l_core", "r_core", 4) >= 0)
-    scored = pairs.join(of(left, "l"), "l").join(of(right, "r"), "r").where(close).withColumn("theta", _unary()).where("theta > -8")
+    scored = pairs.join(of(left, "l"), "l").join(of(right, "r"), "r").where(close).withColumn("theta", _unary()).where("theta is not null")
     edges = scored.groupBy(F.col("l_id").alias("left_id"), F.col("r_id").alias("right_id")).agg(F.max("theta").alias("theta"))
     return propagate(edges)
 
