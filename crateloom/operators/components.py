@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crateloom.runtime import materialize, release
+from crateloom.runtime import materialize_observed, release
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -34,13 +34,9 @@ def components(edges: DataFrame) -> DataFrame:
     """
     clean = edges.where("u is not null and v is not null")
     nodes = clean.select("u").union(clean.select("v")).toDF("node").distinct()
-    current = materialize(
-        clean.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    )
-    mark = _mark(current)
+    current, mark = _written(clean.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     while True:
-        nxt = materialize(_star(_star(current, True), False))
-        seen = _mark(nxt)
+        nxt, seen = _written(_star(_star(current, True), False))
         release(current)
         current = nxt
         if seen == mark:
@@ -51,6 +47,9 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def _mark(edges: DataFrame) -> tuple:
-    """Order-free fingerprint of an edge set."""
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("v", "u"))).first())
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges as a table, with an order-free fingerprint taken while they are written."""
+    out, seen = materialize_observed(
+        edges, n=F.count("*"), total=F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), mix=F.bit_xor(F.xxhash64("v", "u"))
+    )
+    return out, (seen["n"], seen["total"], seen["mix"])

@@ -13,7 +13,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -95,6 +95,12 @@ def materialize(df: DataFrame, even: bool = False) -> DataFrame:
     return out
 
 
+def materialize_observed(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
+    """``materialize`` with aggregates of the rows that the same job takes while it writes them."""
+    seen = Observation()
+    return materialize(df.observe(seen, *[c.alias(n) for n, c in measures.items()])), seen.get
+
+
 def release(*frames: DataFrame) -> None:
     """Delete the files of materialized frames that no later plan reads."""
     for df in frames:
