@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from crateloom.functions.text import clean, fold_words
 from crateloom.llm.name_variants import one_edit
-from crateloom.runtime import materialize, release, spread, table
+from crateloom.runtime import materialize, materialize_observed, release, spread, table
 
 #: Words that mark another edition of one recording.
 EDITION = r"remaster(?:ed|izado|isé|isee)?|digital remaster|mono|stereo|single|album version|single version|radio edit|original version|deluxe|bonus track|reissue|anniversary edition|re-?issue|version single|edition|edición|edição|remasterizada|remastered version|original mix|version originale|versão original|versión original|explicit|clean"
@@ -314,8 +314,8 @@ def propagate(edges: DataFrame) -> DataFrame:
         damping = 1 - (1 - DAMPING) * 0.95 ** max(0, k - 10)
         before = state.withColumn("was", F.col("from_r") + F.col("from_l"))
         sent = _factor(_factor(before, "right_id", "from_l", "from_r", None, damping), "left_id", "from_r", "from_l", EXTRA_TRACK, damping)
-        nxt = materialize(sent)
-        moved = nxt.agg(F.max(F.abs(F.col("from_r") + F.col("from_l") - F.col("was")))).first()[0] or 0.0
+        nxt, seen = materialize_observed(sent, moved=F.max(F.abs(F.col("from_r") + F.col("from_l") - F.col("was"))))
+        moved = seen["moved"] or 0.0
         release(state)
         state = nxt
         # a damped step is so much shorter than the way that is left
