@@ -7,25 +7,29 @@ it, plus the escapes from the longer ones; statistics are frozen, so the cost de
 take the sum of their bytes, and Viterbi over words with a charge for changing the language gives the
 passages; a change is cheaper where a sentence ends.
 
-A passage counts as sentences of its language from ``MIN_WORDS`` words (``INNER_WORDS`` where it touches no
-sentence end, as names within a sentence do) and ``MIN_BITS`` bits of margin to the next language; its confidence is the odds of that margin. Titles in quotes, markup and track lists are
-masked before. Null and empty texts, and texts without such a passage, have no language. Labels are read
-in the writings of ``SPELLINGS`` with any region; others are no label. Labels enter only the training.
+A passage counts as sentences of its language from ``SURE_BITS`` bits of margin to the next language, however
+short it is, or from ``MIN_BITS`` where it has the ``MIN_WORDS`` words that tell a sentence from a name or title;
+both are more where it touches no sentence end, as names within a sentence do. Its confidence is the odds of
+that margin. Titles in quotes, markup and track lists are masked before. Null
+and empty texts, and texts without such a passage, have no language. Labels are read as the codes and names
+of the table of languages, and in the writings of ``SPELLINGS``, with any region; others are no label. Labels
+enter only the training. A language without a labelled sentence cannot be found; a warning names it.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from crateloom.functions.text import strip_marks
+from crateloom.functions.text import clean, strip_marks
 from crateloom.runtime import materialize, spread_scan, table
 
 #: Parameters of the sample that the trees are counted on: documents per language, longest document.
@@ -33,7 +37,7 @@ TRAIN_DOCS, TRAIN_CHARS = 300, 6000
 WEEDING_BYTES, WEEDING_ROUNDS = 4, 3
 DEPTH = 5
 SWITCH_BITS, SWITCH_AT_END_BITS = 28.0, 12.0
-MIN_WORDS, INNER_WORDS, MIN_BITS = 6, 9, 40.0
+MIN_WORDS, INNER_WORDS, MIN_BITS, SURE_BITS, INNER_SURE_BITS = 6, 9, 40.0, 130.0, 200.0
 SLICE_BYTES = 400_000
 
 #: Writings of language names and codes, without regions.
@@ -71,7 +75,19 @@ def label_code(label: str | None) -> str | None:
     return _LABEL.get(text) or _LABEL.get(re.split(r"[-_ (]", text)[0]) if text else None
 
 
-label_code_udf = F.pandas_udf(lambda s: s.map(label_code), T.StringType())
+def labels(languages: DataFrame) -> dict[str, str]:
+    """Every writing of the languages of the table ``languages(lang, lang_name)`` with its code."""
+    out = dict(_LABEL)
+    for r in languages.where("lang is not null").collect():
+        out |= {x.strip().casefold(): r.lang for x in (r.lang, r.lang_name) if x and x.strip()}
+    return out
+
+
+def label(c: Column, known: dict[str, str]) -> Column:
+    """The language code that a label names, else null; a constant of some hundred writings, looked up in the JVM."""
+    codes = F.from_json(F.lit(json.dumps(known)), "map<string,string>")
+    text = F.lower(clean(c))
+    return F.coalesce(F.try_element_at(codes, text), F.try_element_at(codes, F.split_part(F.regexp_replace(text, r"[-_ (]", "-"), F.lit("-"), F.lit(1))))
 
 
 def _codes(data: np.ndarray) -> np.ndarray:
@@ -207,6 +223,11 @@ class Trees:
         return out
 
 
+def _is_text(n: int, margin: float, whole: bool) -> bool:
+    """Whether a passage of ``n`` words is sentences and no name."""
+    return margin >= (SURE_BITS if whole else INNER_SURE_BITS) or (n >= (MIN_WORDS if whole else INNER_WORDS) and margin >= MIN_BITS)
+
+
 def _joined(found: list[tuple[str, int, float, bool]]) -> list[tuple[str, int, float, bool]]:
     """Passages after names have gone back to the sentence around them.
 
@@ -217,19 +238,19 @@ def _joined(found: list[tuple[str, int, float, bool]]) -> list[tuple[str, int, f
     for k, (lang, n, margin, whole) in enumerate(found):
         if out:
             between = k + 1 < len(found) and found[k + 1][0] == out[-1][0]
-            small = n < MIN_WORDS or margin < MIN_BITS
+            small = not _is_text(n, margin, whole)
             last = out[-1]
             if lang == last[0]:
                 out[-1] = (lang, last[1] + n, last[2] + margin, last[3] or whole)
                 continue
-            if (small and between) or (n < INNER_WORDS and not whole):
+            if small and (between or not whole):
                 out[-1] = (last[0], last[1] + n, last[2], last[3])
                 continue
         out.append((lang, n, margin, whole))
     return out
 
 
-def train(docs: DataFrame, langs: list[str]) -> Trees:
+def train(docs: DataFrame, langs: list[str], known: dict[str, str] = _LABEL) -> Trees:
     """Trees from at most ``TRAIN_DOCS`` documents of each label, the ones of least hash.
 
     Wrong labels are weeded first: joint rates of short byte strings judge every sentence, and only
@@ -237,7 +258,7 @@ def train(docs: DataFrame, langs: list[str]) -> Trees:
     """
     rank = Window.partitionBy("code").orderBy(F.xxhash64("doc_id"), "doc_id")
     sample = (
-        docs.where(F.length("text").between(1, TRAIN_CHARS)).withColumn("code", label_code_udf("lang"))
+        docs.where(F.length("text").between(1, TRAIN_CHARS)).withColumn("code", label(F.col("lang"), known))
         .where(F.col("code").isin(langs)).withColumn("k", F.row_number().over(rank))
         .where(F.col("k") <= TRAIN_DOCS).select("code", "text").collect()
     )
@@ -248,6 +269,10 @@ def train(docs: DataFrame, langs: list[str]) -> Trees:
     for _ in range(WEEDING_ROUNDS):
         verdict = _rates(good)
         good = {code: [s for s, v in zip(own, verdict(own)) if v == code] for code, own in sentences.items()}
+    mute = sorted(code for code, own in good.items() if not own)
+    if mute and len(mute) < len(good):
+        warnings.warn(f"no labelled sentences for {', '.join(mute)}")
+        good = {code: own for code, own in good.items() if own}
     return Trees({code: own + [x for s in own if (x := plain(s)) != s] for code, own in good.items()})
 
 
@@ -301,7 +326,7 @@ def passages(docs: DataFrame, trees: Trees) -> DataFrame:
                 if i == len(texts) or size > 2_000_000:
                     for doc, found in zip(ids[start:i], trees.passages(texts[start:i])):
                         rows += [
-                            (doc, k, lang, n, margin, n >= (MIN_WORDS if whole else INNER_WORDS) and margin >= MIN_BITS)
+                            (doc, k, lang, n, margin, _is_text(n, margin, whole))
                             for k, (lang, n, margin, whole) in enumerate(found)
                         ]
                     start, size = i, 0
@@ -314,8 +339,9 @@ def passages(docs: DataFrame, trees: Trees) -> DataFrame:
 
 def _passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    langs = sorted(r.lang for r in table(spark, sf_dir, "languages").collect())
-    return passages(docs, train(docs, langs))
+    languages = table(spark, sf_dir, "languages")
+    langs = sorted(r.lang for r in languages.where("lang is not null").collect())
+    return passages(docs, train(docs, langs, labels(languages)))
 
 
 def p9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,7 +357,8 @@ def p9_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max_by("lang", F.struct("n", "lang")).alias("found_lang"), (F.max("n") / F.sum("n")).alias("share"),
         F.count("*").alias("n_langs"),
     )
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", label_code_udf("lang").alias("label"))
+    known = labels(table(spark, sf_dir, "languages"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", label(F.col("lang"), known).alias("label"))
     return docs.join(main, "doc_id", "left").select(
         "doc_id", F.col("lang").alias("given_label"), "found_lang", F.round("share", 4).alias("confidence"), "n_langs",
         F.coalesce(F.col("label") == F.col("found_lang"), F.lit(False)).alias("label_agrees"),
@@ -341,9 +368,10 @@ def p9_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = materialize(_passages(spark, sf_dir).where("is_text").select("doc_id", "lang").distinct())
     count = found.groupBy("doc_id").agg(F.count("*").alias("n_langs"))
-    labels = table(spark, sf_dir, "documents").select("doc_id", label_code_udf("lang").alias("label"))
+    known = labels(table(spark, sf_dir, "languages"))
+    given = table(spark, sf_dir, "documents").select("doc_id", label(F.col("lang"), known).alias("label"))
     named = found.select("doc_id", F.col("lang").alias("label"), F.lit(True).alias("right"))
-    cases = labels.join(count, "doc_id").join(named, ["doc_id", "label"], "left").where("n_langs > 1 or right is null")
+    cases = given.join(count, "doc_id").join(named, ["doc_id", "label"], "left").where("n_langs > 1 or right is null")
     return found.join(cases.select("doc_id"), "doc_id").select("doc_id", "lang")
 
 

@@ -9,8 +9,8 @@ The outcome is a short list of rank intervals, from which every document reads i
 own. It equals sequential best fit with decreasing sizes.
 
 A text larger than the capacity gives full pieces, each a container of its own, and one remainder;
-no other text is cut. Texts without tokens take no room and are spread over the containers. Capacities
-must be positive. Ties in size go by a hash of the document id, then the id and the piece.
+no other text is cut. Texts without tokens take no room; ``capacity`` of them at most share a container, those
+beyond that get containers of their own, so contents stay bounded. Capacities must be positive. Ties in size go by a hash of the document id, then the id and the piece.
 """
 
 from __future__ import annotations
@@ -123,7 +123,9 @@ def pack(counts: DataFrame, capacities: DataFrame) -> DataFrame:
                 rank = b["at"].to_numpy()[rows] + offsets[name, size, part]
                 by_size, opened = plans[name]
                 if size <= 0:
-                    out[rows] = rank % opened
+                    # the first round goes over the open containers, later ones open new containers
+                    limit = int(b["capacity"].to_numpy()[rows[0]])
+                    out[rows] = np.where(rank < opened * limit, rank % opened, opened + (rank - opened * limit) // limit)
                     continue
                 low, start, per = by_size[size]
                 k = np.searchsorted(low, rank, side="right") - 1

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
 from crateloom.runtime import spread_scan
@@ -28,10 +29,13 @@ def encoder(path: str):
 
 def count_tokens(docs: DataFrame, keep: list[str], path: str = TOKENIZER) -> DataFrame:
     """The columns ``keep`` of ``docs`` and ``n_tokens`` of ``text``; null and empty texts have 0."""
+    context = docs.sparkSession.sparkContext
+    context.addFile(path)  # once per context; workers may have no file at this place
+    name = os.path.basename(path)
     schema = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep) + ", n_tokens long"
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(path).encode_ordinary
+        encode = encoder(SparkFiles.get(name)).encode_ordinary
         for b in batches:
             yield b[keep].assign(n_tokens=[0 if t is None else len(encode(t)) for t in b["text"]])
 

@@ -105,6 +105,73 @@ def test_look_alikes(spark, tmp_path):
     assert [forms[2 * k] for k in range(4)] == plain
 
 
+def test_planted_look_alikes_are_undone(spark):
+    """Clean texts with letters replaced by look-alikes get their own letters back, by the trigrams of all texts."""
+    from collections import Counter
+    from pathlib import Path
+
+    data = Path("/root/testdata/sf0.001/spotify_tracks.parquet")
+    if not data.exists():
+        pytest.skip("no test tables here")
+    texts = [r[0] for r in spark.read.parquet(str(data)).select("title").where("title <> ''").collect()]
+    texts = [L.unicodedata.normalize("NFC", L.visible(t)) for t in texts]
+    one = [t for t in texts if len({L.script(c) for c in t if L.script(c)}) == 1]
+    grams: Counter = Counter()
+    for t in one:
+        for w in L.unicodedata.normalize("NFD", t).split(" "):
+            signs = "^^" + "".join(map(L.symbol, w))
+            grams.update(signs[i : i + 3] for i in range(len(w)))
+    lattice, rnd, right, n = L.Lattice(grams), random.Random(9), 0, 0
+    for t in one:
+        odd = "".join(rnd.choice(L.CLASS[c]) if c in L.CLASS and rnd.random() < 0.3 else c for c in L.unicodedata.normalize("NFD", t))
+        n, right = n + 1, right + (lattice.text(odd) == t)
+        assert lattice.text(odd) == lattice.text(t)
+    assert n > 50 and right / n > 0.97
+
+
+def test_bits_back_off_and_stay_bounded():
+    bits = L.letter_bits({"^^о": 3, "^оC": 3, "^^o": 1})
+    assert bits["^^о"] == pytest.approx(0.415, abs=1e-3) and bits["^о"] == bits["^^о"] and bits["оC"] == 0
+    assert {L.symbol(c) for c in "bжλ7東"} == {"0", "1", "2", "3", "4"}
+
+
+def test_hot_looks_are_joined_in_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(L, "BLOCK_ROWS", 3)
+    rows = [dict(entry_id=k, spotify_track_id="T", title="ab" if k % 2 else "аb") for k in range(20)]
+    got = {tuple(r) for r in L.p4_found(spark, tables.write(tmp_path / "t", {"spotify_tracks": rows})).collect()}
+    assert got == {(a, b, "title") for a, b in combinations(range(20), 2) if (a + b) % 2}
+
+
+def test_pet_forms_are_learned_from_shared_family_names(spark, tmp_path):
+    families = ["Waklin", "Jepson", "Toldat", "Zegver", "Milnux", "Korhav"]
+    names = [f"Robert {f}" for f in families] + [f"Bo {f}" for f in families[:3]] + ["Zoe Waklin", "Zoe Lenfan", "Zoe Pipmad", "Ann Jepson"]
+    artists = [dict(artist_id="X", canonical_name="Antonia Ragvum")]
+    credits = [dict(credit_id=str(k), artist_name=n) for k, n in enumerate(names)] + [dict(credit_id="t", artist_name="Toni Ragvum", artist_id="X")]
+    got = {tuple(r) for r in N.p5_found(spark, tables.write(tmp_path / "t", {"credits": credits, "artists": artists})).collect()}
+    assert got == {(f"Bo {f}", f"Robert {f}") for f in families[:3]} | {("Antonia Ragvum", "Toni Ragvum")}
+
+
+def test_close_pairs_of_any_length():
+    long = "x" * 30_000
+    assert N.close_pairs([long, long[1:], "ab", "ba"]) == {(long[1:], long), ("ab", "ba")}
+    assert N.close_pairs([]) == set()
+
+
+def test_segments_of_near_titles_meet():
+    rnd = random.Random(1)
+
+    def slip(t):
+        k, i = rnd.randrange(4), rnd.randrange(len(t))
+        return [t[:i] + rnd.choice("abc ") + t[i:], t[:i] + t[i + 1 :], t[:i] + rnd.choice("abc ") + t[i + 1 :], t[:i] + t[i + 1 : i + 2] + t[i : i + 1] + t[i + 2 :]][k]
+
+    for _ in range(3000):
+        a = b = "".join(rnd.choice("abc ") for _ in range(rnd.randrange(3, 16)))
+        for _ in range(rnd.randrange(3)):
+            b = slip(b)
+        assert M._pieces(a, True) & M._pieces(b, False), (a, b)
+    assert M._less_one(["x", "a", "b"]) & M._less_one(["a", "y", "b"]) and not M._less_one(["x", "a", "b"]) & M._less_one(["b", "a", "y"])
+
+
 @pytest.mark.parametrize("title, parts", [
     ("Song (Live at Hall)", ("song", "live:live", "")), ("Song - 2011 Remaster", ("song", "", "remaster")), ("Song, Pt. 2", ("song", "pt2:", "")),
     ("Song (Name) [Single Version]", ("song name", "", "single version")), ("Song (Fox Remix)", ("song", "remix:fox remix", "")), ("Song ft. A & B", ("song", "", "")), ("", ("", "", "")),

@@ -49,6 +49,13 @@ def test_pack(spark):
     assert len([c for c, n in fill.items() if n]) == best_fit(items, 16)
 
 
+def test_many_empty_texts_share_bounded_containers(spark):
+    counts = spark.createDataFrame([(k, 0 if k else 5) for k in range(101)], "doc_id long, n_tokens long")
+    caps = spark.createDataFrame([("c", 16)], "capacity_name string, capacity_tokens int")
+    got = Counter(r.container_id for r in P.pack(counts, caps).collect())
+    assert sum(got.values()) == 101 and max(got.values()) <= 17
+
+
 def test_mix(spark):
     rnd = random.Random(7)
     docs = [(k, rnd.choice("aaaaaaab"), rnd.randint(0, 90)) for k in range(3000)] + [(9001, "c", 10), (9002, None, 10), (9003, "", 4)]
@@ -130,6 +137,23 @@ def test_masks_and_labels():
     assert [G.label_code(x) for x in ("en-US", "Deutsch", "PT", "português", "xx", "", None, "und", " ger ")] == ["en", "de", "pt", "pt", None, None, None, None, "de"]
 
 
+def test_labels_come_from_the_table_of_languages(spark):
+    languages = spark.createDataFrame([("fi", "Finnish"), ("en", "English"), (None, "x")], "lang string, lang_name string")
+    known = G.labels(languages)
+    rows = spark.createDataFrame([(x,) for x in ("FI", " finnish ", "fi-FI", "Deutsch", "en_US", "xx", "", None)], "lang string")
+    assert [r[0] for r in rows.select(G.label(F.col("lang"), known)).collect()] == ["fi", "fi", "fi", "de", "en", None, None, None]
+
+
+def test_a_language_without_labelled_sentences_is_named(spark):
+    docs = spark.createDataFrame([(k, t, lang) for lang, own in TEXTS.items() for k, t in enumerate(own * 3)], "doc_id long, text string, lang string")
+    with pytest.warns(UserWarning, match="fi"):
+        assert G.train(docs, ["de", "en", "fi"]).langs == ["de", "en"]
+
+
+def test_short_sentences_count_by_their_evidence():
+    assert G._is_text(3, 150.0, True) and G._is_text(6, 41.0, True) and not G._is_text(3, 60.0, True) and not G._is_text(6, 41.0, False)
+
+
 DATA = Path("/root/testdata/sf0.001")
 
 
@@ -140,5 +164,5 @@ def test_held_out_accuracy(spark):
     held = spark.read.parquet(f"{DATA}/documents.parquet").where("doc_id % 2 = 1")
     langs = sorted(r.lang for r in spark.read.parquet(f"{DATA}/languages.parquet").collect())
     found = G.passages(held, G.train(docs, langs)).where("is_text").groupBy("doc_id").agg(F.max_by("lang", "n_words").alias("found"))
-    rows = held.select("doc_id", G.label_code_udf("lang").alias("label")).join(found, "doc_id").where("label is not null").collect()
-    assert len(rows) > 20 and sum(r.label == r.found for r in rows) / len(rows) > 0.8
+    rows = held.select("doc_id", G.label(F.col("lang"), G._LABEL).alias("label")).join(found, "doc_id").where("label is not null").collect()
+    assert len(rows) > 20 and sum(r.label == r.found for r in rows) / len(rows) > 0.9
