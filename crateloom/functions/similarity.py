@@ -104,12 +104,109 @@ def decision(score: Column, margin: Column, accept: float = 0.85, gap: float = 0
     return F.when((score >= accept) & (margin >= gap), "matched").when(score >= review, "review").otherwise("unmatched")
 
 
+def with_empty(groups: DataFrame, kept: DataFrame, key: str, candidate: str) -> DataFrame:
+    """Every group with its ranked candidates; a group without any has one row with status no_plausible_candidate."""
+    return groups.join(kept, key, "left").withColumn("candidate_status", F.when(F.col(candidate).isNull(), "no_plausible_candidate").otherwise("review"))
+
+
 def duration_tiebreak(pairs: DataFrame, key: str, score: str, gap: str, *ties: str, near: float = 0.03) -> DataFrame:
-    """Order by: near the top score first, then the smallest duration gap among these, then score."""
+    """Rank by score, but first the pair of least duration gap among those near the top score.
+
+    ``margin`` is the score less that of the next pair in this order, so it may be negative; of the last it is its score.
+    """
     best = Window.partitionBy(key)
     close = F.col(score) >= F.max(score).over(best) - near
-    order = Window.partitionBy(key).orderBy(F.desc("_close"), F.asc_nulls_last("_gap"), F.desc(score), *map(F.asc, ties))
+    choice = Window.partitionBy(key).orderBy(F.desc("_close"), F.asc_nulls_last("_gap"), F.desc(score), *map(F.asc, ties))
+    order = Window.partitionBy(key).orderBy(F.desc("_first"), F.desc(score), *map(F.asc, ties))
     return (
         pairs.withColumn("_close", close).withColumn("_gap", F.when(F.col("_close"), F.col(gap)))
-        .withColumn("rank", F.row_number().over(order)).drop("_close", "_gap")
+        .withColumn("_first", F.row_number().over(choice) == 1).withColumn("rank", F.row_number().over(order))
+        .withColumn("margin", F.col(score) - F.coalesce(F.lead(score).over(order), F.lit(0.0))).drop("_close", "_gap", "_first")
+    )
+
+
+#: Weights of the enrichment score and of the cache score, and what an exact title lifts the latter to.
+ENRICHMENT_WEIGHTS = {"title": 0.60, "artist": 0.30, "year": 0.10}
+CACHE_WEIGHTS, CACHE_FLOOR, CACHE_ARTIST = {"title": 0.65, "artist": 0.35}, 0.95, 0.80
+#: Points of a knowledge-base candidate, occupations, kinds, and words that speak against music.
+KB_POINTS = {"name": 100, "alias": 95, "human": 60, "group": 55, "occupation": 50, "description": 20, "bad": -100, "invalid": -120}
+KB_OCCUPATIONS = ["Q639669", "Q177220", "Q36834", "Q488205", "Q753110", "Q158852", "Q130857", "Q855091"]
+KB_HUMAN, KB_GROUP = "Q5", "Q215380"
+KB_BAD_WORDS = ["album", "discography", "concert", "given name", "song", "film", "book", "episode", "box set"]
+KB_GROUP_WORDS = ["band", "musical group", "music group", "rock band", "rock group", "duo", "trio", "quartet", "ensemble"]
+
+
+def year_equal(a: Column, b: Column) -> Column:
+    """1 for two equal years of digits (the second cut to four characters), else 0."""
+    x, y = F.trim(a.cast("string")), F.substring(F.trim(b.cast("string")), 1, 4)
+    return F.when(x.rlike(r"^\d+$") & y.rlike(r"^\d+$") & (x == y), 1.0).otherwise(0.0)
+
+
+def year_conflict(a: Column, b: Column) -> Column:
+    """True where both years are known and differ."""
+    return F.coalesce(a != b, F.lit(False))
+
+
+def summed(scores: dict[str, Column], weights: dict[str, float]) -> Column:
+    """Weighted sum; a missing score counts 0 and its weight is not given to the others."""
+    return reduce(Column.__add__, [F.coalesce(scores[k], F.lit(0.0)) * w for k, w in weights.items()])
+
+
+def cache_score(title: Column, artist: Column, same_title: Column) -> Column:
+    plain = summed({"title": title, "artist": artist}, CACHE_WEIGHTS)
+    return F.when(same_title & (artist >= CACHE_ARTIST), F.greatest(plain, F.lit(CACHE_FLOOR))).otherwise(plain)
+
+
+def cache_decision(score: Column, margin: Column) -> Column:
+    return F.when((score >= 0.90) & (margin >= 0.05), "HIGH_CONFIDENCE").when(score >= 0.75, "REVIEW").otherwise("NO_CONFIDENT_MATCH")
+
+
+def safe_cached(status: Column, track_id: Column, year_difference: Column, title_years: Column, versions: Column, duration: Column) -> Column:
+    """Whether a cached match may be used as it is; a given duration always asks for new scores."""
+    return F.coalesce(
+        (status == "matched") & (track_id != "") & (year_difference == 0) & ~title_years & ~versions & (F.coalesce(duration, F.lit("")) == ""), F.lit(False)
     )
+
+
+def kb_rank(target: Column, label: Column, aliases: Column, kinds: Column, occupations: Column, description: Column, music_words: list[str]) -> Column:
+    """struct(score, exact, valid) of a knowledge-base candidate; texts and aliases are folded, ids are arrays.
+
+    Words that speak against music are compared with single words, so those of two words never hit.
+    """
+    words = F.split(description, " ")
+    has = lambda terms: reduce(Column.__or__, [F.contains(description, F.lit(t)) for t in terms], F.lit(False))
+    name, alias = target == label, F.array_contains(aliases, target)
+    human, group = F.array_contains(kinds, KB_HUMAN), F.array_contains(kinds, KB_GROUP)
+    plays, told = F.arrays_overlap(occupations, F.array(*map(F.lit, KB_OCCUPATIONS))), has(music_words)
+    bad = F.arrays_overlap(words, F.array(*map(F.lit, KB_BAD_WORDS)))
+    valid = (human & (plays | told)) | group | plays | has(KB_GROUP_WORDS)
+    points = lambda c, k: F.when(c, KB_POINTS[k]).otherwise(0)
+    score = F.when(name, KB_POINTS["name"]).when(alias, KB_POINTS["alias"]).otherwise(0) + points(human, "human") + points(group, "group") + points(plays, "occupation") + points(told, "description") + points(bad, "bad") + points(~valid, "invalid")
+    return F.struct(score.alias("score"), (name | alias).alias("exact"), valid.alias("valid"))
+
+
+def kb_status(exact: Column, valid: Column, found: Column) -> Column:
+    return F.when(~found, "not_found").when(exact & valid, "resolved").otherwise("review")
+
+
+def page_status(expected_title: Column, expected_artists: Column, actual_title: Column, actual_artists: Column, url: Column, relationship: Column, cached: bool = False, two_parts: Column | None = None) -> Column:
+    """matched, review or rejected for a page: equal folded titles, and any artist equal to or contained in another.
+
+    A live page without address is for review, and one of a relationship is rejected; for a ``cached`` page anything
+    but an address of two segments is rejected.
+    """
+    artist = F.exists(expected_artists, lambda e: F.exists(actual_artists, lambda a: F.contains(a, e) | F.contains(e, a)))
+    verdict = F.when((expected_title == actual_title) & artist, "matched").otherwise("review")
+    if cached:
+        return F.when((url == "") | ~two_parts, "rejected").otherwise(verdict)
+    return F.when(url == "", "review").when(relationship, "rejected").otherwise(verdict)
+
+
+def loose_page(title: Column, page_title: Column, artists: Column, page_text: Column, track_page: Column) -> Column:
+    """Whether a folded title stands in the page's title, and an artist of three letters or more in title or text."""
+    named = F.exists(artists, lambda a: (F.length(a) >= 3) & F.contains(F.concat_ws(" ", page_title, page_text), a))
+    return track_page & (title != "") & F.contains(page_title, title) & named
+
+
+def saved_page(title: Column, canonical: Column, relationship: Column) -> Column:
+    return (title != "") & (canonical != "") & ~relationship

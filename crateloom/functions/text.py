@@ -81,3 +81,29 @@ fold_ascii_udf = _mapped(fold_ascii)
 fold_unicode_udf = _mapped(fold_unicode)
 fold_identity_udf = _mapped(fold_identity)
 
+
+def text_or_blank(c: Column) -> Column:
+    """Null becomes '', nothing else changes."""
+    return F.coalesce(c.cast("string"), F.lit(""))
+
+
+def truthy_text(c: Column) -> Column:
+    """The cleaned text of a value, '' for what counts as false: null, 0, false and ''."""
+    return F.when(clean(c).isin("0", "0.0", "false", "False"), "").otherwise(clean(c))
+
+
+@lru_cache(maxsize=200_000)
+def fold_descriptor(text: str) -> str:
+    """NFKD without marks, casefold, everything but word characters and blanks as a blank."""
+    return _SPACE.sub(" ", re.sub(r"[^\w\s]+", " ", strip_marks(text).casefold())).strip()
+
+
+@lru_cache(maxsize=200_000)
+def fold_ascii_lower(text: str) -> str:
+    """``fold_ascii`` with plain lower case, so a sharp s goes instead of becoming two letters."""
+    text = strip_marks(text).lower().replace("&", " and ")
+    return _SPACE.sub(" ", re.sub(r"[^a-z0-9\s]", " ", text)).strip()
+
+
+fold_descriptor_udf = _mapped(fold_descriptor)
+fold_ascii_lower_udf = _mapped(fold_ascii_lower)

@@ -17,8 +17,8 @@ IDENTITY_TERMS = ["remix", "remixed", "mix", "cover", "covered", "dub", "rework"
 EDITION_TERMS = ["version", "remaster", "remastered", "digital remaster", "mono", "stereo"]
 #: Version suffixes, removed in this order.
 VERSION_SUFFIXES = [
-    r"(?i)\s*-\s*\d{4}\s+(digital\s+)?remaster.*$", r"(?i)\s*-\s*remaster(ed|izado|izada)?.*$", r"(?i)\s*\(remaster(ed)?[^)]*\)", r"(?i)\s*\[remaster(ed)?[^\]]*\]",
-    r"(?i)\s*-\s*radio edit$", r"(?i)\s*-\s*single version$", r"(?i)\s*-\s*album version$",
+    r"(?i)\s*-\s*\d{4}\s+digital\s+remaster.*$", r"(?i)\s*-\s*remaster(?:ed|izado|izada)?.*$", r"(?i)\s*\(\s*remaster(?:ed)?[^)]*\)\s*$", r"(?i)\s*\[\s*remaster(?:ed)?[^\]]*\]\s*$",
+    r"(?i)\s*-\s*radio\s+edit\s*$", r"(?i)\s*-\s*single\s+version\s*$", r"(?i)\s*-\s*album\s+version\s*$",
 ]
 _IDENTITY = re.compile(r"\b(?:" + "|".join(IDENTITY_TERMS) + r")\b")
 _BRACKET = re.compile(r"\s*[(\[]([^()\[\]]*)[)\]]")
@@ -92,7 +92,43 @@ def page_candidates_udf(artist: pd.Series, title: pd.Series) -> pd.Series:
 
 
 def year_of(c: Column, centuries: str = "18|19|20") -> Column:
-    return F.nullif(F.regexp_extract(clean(c), rf"({centuries})\d\d", 0), F.lit("")).cast("int")
+    """The first whole number of four digits of one of the centuries."""
+    return F.nullif(F.regexp_extract(clean(c), rf"\b(?:{centuries})\d\d\b", 0), F.lit("")).cast("int")
+
+
+def title_year(c: Column) -> Column:
+    """The year that a title names, as text; '' without one."""
+    return F.regexp_extract(clean(c), r"\b(?:19|20)\d\d\b", 0)
+
+
+def compact_title(folded: Column) -> Column:
+    """A folded title in which only a backslash with letters s behind it would go, so it is left as it is."""
+    return F.regexp_replace(folded, r"\\s+", "")
+
+
+def title_tokens(folded: Column) -> Column:
+    return F.array_sort(F.array_distinct(F.filter(F.split(folded, " "), lambda t: t != "")))
+
+
+def iso_duration_seconds(c: Column) -> Column:
+    """PT1H2M3.5S with whole hours and minutes to seconds; blank is null, 'PT' is 0."""
+    text, pattern = c.cast("string"), r"^PT(?:(\d+)H)?(?:(\d+)M)?(?:(\d+(?:\.\d+)?)S)?$"
+    part = lambda k: F.coalesce(F.nullif(F.regexp_extract(text, pattern, k), F.lit("")).cast("double"), F.lit(0.0))
+    return F.when(text.rlike(pattern), part(1) * 3600 + part(2) * 60 + part(3))
+
+
+def spoken_seconds(c: Column) -> Column:
+    """The first m:ss of a text, else minutes and seconds as words; null without either."""
+    text = F.trim(F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), r"(?U)\s+", " "))
+    clock = r"\b(\d+):(\d\d)\b"
+    words = r"(?i)\b(?:(\d+)\s*m(?:in(?:ute)?s?)?\s*)?(\d+(?:\.\d+)?)\s*s(?:ec(?:ond)?s?)?\b"
+    part = lambda p, k: F.coalesce(F.nullif(F.regexp_extract(text, p, k), F.lit("")).cast("double"), F.lit(0.0))
+    return F.when(text.rlike(clock), part(clock, 1) * 60 + part(clock, 2)).when(text.rlike(words), part(words, 1) * 60 + part(words, 2))
+
+
+def display_number(c: Column, digits: int) -> Column:
+    """A number as text with so many digits, '' where it is none."""
+    return F.coalesce(F.format_string(f"%.{digits}f", F.bround(clean(c).try_cast("double"), digits)), F.lit(""))
 
 
 def year_prefix(c: Column) -> Column:

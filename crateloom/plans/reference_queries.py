@@ -71,32 +71,52 @@ def url_keys(r):
 
 
 @query("relationships", sql=rf"""WITH u AS (SELECT {c('whosampled_relationship_url')} AS u FROM relationships)
-SELECT CASE WHEN lower(u) LIKE '%sampled%' THEN 'sampled' WHEN lower(u) LIKE '%covered%' THEN 'covered' WHEN lower(u) LIKE '%interpolated%' THEN 'interpolated'
-WHEN lower(u) LIKE '%remix%' THEN 'remixed' ELSE '' END AS relation_type, regexp_extract(u, '/(sample|cover|remix|interpolation)s?/(\d+)', 1) AS kind,
-count(*) AS n, count(DISTINCT regexp_extract(u, '/(sample|cover|remix|interpolation)s?/(\d+)', 2)) AS n_numbers FROM u GROUP BY 1, 2""")
+SELECT CASE WHEN lower(u) LIKE '%/sample/%' THEN 'sampled' WHEN lower(u) LIKE '%/cover/%' THEN 'covered' WHEN lower(u) LIKE '%/interpolation/%' THEN 'interpolated'
+WHEN lower(u) LIKE '%/remix/%' THEN 'remixed' ELSE '' END AS relation_type,
+CASE WHEN lower(u) LIKE '%/sample/%' THEN 'sampled' WHEN lower(u) LIKE '%/cover/%' THEN 'covers' WHEN lower(u) LIKE '%/interpolation/%' THEN 'interpolates'
+WHEN lower(u) LIKE '%/remix/%' THEN 'remix' ELSE '' END AS page_type, regexp_extract(u, '/(sample|cover|remix|interpolation)s?/(\d+)', 1) AS kind,
+count(*) AS n, count(DISTINCT regexp_extract(u, '/(sample|cover|remix|interpolation)s?/(\d+)', 2)) AS n_numbers FROM u GROUP BY 1, 2, 3""")
 def url_relations(rel):
     u = F.col("whosampled_relationship_url")
     identity = K.relation_identity(u)
-    return rel.groupBy(K.relation_type(u).alias("relation_type"), identity["kind"].alias("kind")).agg(
+    return rel.groupBy(K.relation_type(u).alias("relation_type"), K.relation_of_page(u, F.lit("")).alias("page_type"), identity["kind"].alias("kind")).agg(
         F.count("*").alias("n"), F.countDistinct(identity["number"]).alias("n_numbers"))
 
 
-@query("artists", "recordings", "relationships", sql=rf"""WITH u AS (SELECT whosampled_url AS u FROM artists UNION ALL SELECT whosampled_url FROM recordings UNION ALL SELECT whosampled_relationship_url FROM relationships),
-k AS (SELECT {c('u')} AS u FROM u), p AS (SELECT u, list_filter(string_split(regexp_replace(regexp_replace(u, '^[a-z]+://[^/]+', ''), '[?#].*$', ''), '/'), lambda x: x <> '') AS p FROM k),
-l AS (SELECT u, p, lower(coalesce(p[len(p)], '')) AS last FROM p)
-SELECT CASE WHEN u = '' THEN 'blank' WHEN regexp_matches(u, '/(sample|cover|remix|interpolation)s?/\d+') THEN 'relationship'
-WHEN regexp_matches(lower(u), '^https?://') AND NOT regexp_matches(lower(u), '^https?://([^/]+\.)?pages\.example(/|$)') THEN 'external'
-WHEN len(p) = 1 THEN 'profile' WHEN len(p) = 2 AND last IN ({", ".join(f"'{x}'" for x in K.SUBPAGES)}) THEN 'artist_subpage'
-WHEN last IN ({", ".join(f"'{x}'" for x in K.CATALOG_WORDS)}) THEN 'catalog' WHEN len(p) = 2 THEN 'track' ELSE 'other' END AS link_class, count(*) AS n FROM l GROUP BY 1""")
+_FIRST = """WITH u AS (SELECT whosampled_url AS u, whosampled_name AS owner FROM artists UNION ALL SELECT whosampled_url, whosampled_artist_names FROM recordings UNION ALL SELECT whosampled_relationship_url, related_artist FROM relationships),
+k AS (SELECT {u} AS u, lower(replace({o}, ' ', '-')) AS slug FROM u),
+p AS (SELECT *, lower(regexp_extract(u, '^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)', 1)) AS host, list_filter(string_split(regexp_replace(regexp_replace(u, '^[a-z]+://[^/]+', ''), '[?#].*$', ''), '/'), lambda x: x <> '') AS p FROM k),
+l AS (SELECT *, lower(coalesce(url_decode(p[1]), '')) AS a, lower(coalesce(url_decode(p[2]), '')) AS b FROM p)
+SELECT CASE WHEN host <> '' AND host NOT IN ('pages.example', 'www.pages.example') THEN 'external' WHEN len(p) = 0 THEN 'site_root' WHEN a IN ('sample', 'cover', 'interpolation', 'remix') THEN 'relationship_detail'
+WHEN a <> slug THEN 'other' """.format(u=c("u"), o=c("owner"))
+
+
+def _owned(a, r, rel):
+    parts = [a.select(F.col("whosampled_url").alias("u"), F.col("whosampled_name").alias("owner")), r.select(F.col("whosampled_url").alias("u"), F.col("whosampled_artist_names").alias("owner")),
+             rel.select(F.col("whosampled_relationship_url").alias("u"), F.col("related_artist").alias("owner"))]
+    return O.union_all(parts).withColumn("slug", F.replace(clean(F.col("owner")), F.lit(" "), F.lit("-")))
+
+
+@query("artists", "recordings", "relationships", sql=_FIRST + r"""WHEN len(p) = 1 AND regexp_matches(u, '\?(.*&)?[^=&#]+=[^&#]') THEN 'artist_pagination' WHEN len(p) = 1 THEN 'artist_profile'
+WHEN b IN ('samples', 'sampled', 'sample', 'covers', 'covered', 'cover', 'remixes', 'remixed', 'remix', 'interpolations', 'interpolated', 'interpolates', 'connections', 'credits', 'appearances', 'tracks', 'songs') THEN 'artist_catalog_page'
+WHEN len(p) = 2 THEN 'artist_track_candidate' ELSE 'artist_internal_other' END AS link_class, count(*) AS n FROM l GROUP BY 1""")
 def url_link_classes(a, r, rel):
-    urls = O.union_all([a.select(F.col("whosampled_url").alias("u")), r.select(F.col("whosampled_url").alias("u")), rel.select(F.col("whosampled_relationship_url").alias("u"))])
-    return urls.groupBy(K.link_class(F.col("u")).alias("link_class")).agg(F.count("*").alias("n"))
+    return _owned(a, r, rel).groupBy(K.link_class(F.col("u"), F.col("slug")).alias("link_class")).agg(F.count("*").alias("n"))
+
+
+@query("artists", "recordings", "relationships", sql=_FIRST + """WHEN len(p) = 1 THEN 'artist_listing' WHEN b IN ('facts', 'samples', 'sampled', 'covers', 'covered', 'remixes', 'remixed', 'connections') THEN 'artist_subpage'
+WHEN len(p) = 2 THEN 'track_candidate' ELSE 'artist_internal_other' END AS link_class, count(*) AS n FROM l GROUP BY 1""")
+def url_listing_classes(a, r, rel):
+    return _owned(a, r, rel).groupBy(K.artist_link_class(F.col("u"), F.col("slug")).alias("link_class")).agg(F.count("*").alias("n"))
 
 
-@query("credits", sql=f"""WITH x AS (SELECT lower({c('role')}) AS role FROM credits)
-SELECT CASE {" ".join(f"WHEN role = '{a}' THEN '{b}'" for a, b in K.ROLES.items())} ELSE regexp_replace(role, '[\\s-]+', '_', 'g') END AS canonical_role, count(*) AS n FROM x GROUP BY 1""")
+@query("credits", sql=f"""WITH x AS (SELECT lower({c('source_role')}) AS role FROM credits)
+SELECT role AS source_role, CASE WHEN role IN ('producer', 'producer(s)') THEN 'produced_by' WHEN role IN ('composer', 'composer(s)') THEN 'composed_by'
+WHEN role IN ('lyricist', 'lyricist(s)', 'songwriter', 'songwriter(s)') THEN 'written_by' WHEN role IN ('arranger', 'arranger(s)') THEN 'arranged_by'
+WHEN role IN ('performer', 'performer(s)', 'vocalist', 'instrumentalist') THEN 'performed_by' WHEN role IN ('engineer', 'engineer(s)') THEN 'engineered_by'
+WHEN role IN ('mixer', 'mix engineer') THEN 'mixed_by' WHEN role = 'remixer' THEN 'remixed_by' ELSE replace(role, ' ', '_') END AS canonical_role, count(*) AS n FROM x GROUP BY 1, 2""")
 def role_canonical(cr):
-    return cr.groupBy(K.canonical_role(F.col("role")).alias("canonical_role")).agg(F.count("*").alias("n"))
+    return cr.groupBy(F.lower(clean(F.col("source_role"))).alias("source_role"), K.canonical_role(F.col("source_role")).alias("canonical_role")).agg(F.count("*").alias("n"))
 
 
 # ---- titles, dates, numbers
@@ -108,7 +128,8 @@ def text_clean(t):
 
 def _suffixes() -> str:
     out = c("title")
-    for p in TT.VERSION_SUFFIXES:
+    for p in (r"(?i)\s*-\s*\d{4}\s+digital\s+remaster.*$", r"(?i)\s*-\s*remaster(ed|izado|izada)?.*$", r"(?i)\s*\(\s*remaster(ed)?[^)]*\)\s*$", r"(?i)\s*\[\s*remaster(ed)?[^\]]*\]\s*$",
+              r"(?i)\s*-\s*radio\s+edit\s*$", r"(?i)\s*-\s*single\s+version\s*$", r"(?i)\s*-\s*album\s+version\s*$"):
         out = f"regexp_replace({out}, '{p}', '', 'g')"
     return out
 
@@ -118,7 +139,7 @@ def title_without_version(t):
     return t.select("entry_id", TT.without_version(F.col("title")).alias("base_title"))
 
 
-@query("spotify_tracks", sql=f"""WITH v AS (SELECT unnest([{", ".join(f"'{x}'" for x in TT.VERSION_TERMS)}]) AS term)
+@query("spotify_tracks", sql="""WITH v AS (SELECT unnest(['remix', 'remastered', 'remaster', 'spotify singles', 'live', 'acoustic', 'instrumental', 'demo', 'edit', 'radio edit', 'extended', 'extended mix', 'mono', 'stereo', 'karaoke', 'slowed', 'sped up', 'speed up']) AS term)
 SELECT term, count(*) AS n FROM spotify_tracks JOIN v ON contains(lower(coalesce(title, '')), term) GROUP BY 1""")
 def title_version_terms(t):
     return t.select(F.explode(TT.version_terms(F.lower(clean(F.col("title"))))).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
@@ -129,7 +150,7 @@ p AS (SELECT *, '^PT(?:(\d+(?:\.\d+)?)H)?(?:(\d+(?:\.\d+)?)M)?(?:(\d+(?:\.\d+)?)
 SELECT DISTINCT recording_id, CASE WHEN iso <> 'PT' AND regexp_matches(iso, '^PT(?:(\d+(?:\.\d+)?)H)?(?:(\d+(?:\.\d+)?)M)?(?:(\d+(?:\.\d+)?)S)?$') THEN CAST(round_even(1000 * (
  coalesce(try_cast(regexp_extract(iso, '(\d+(?:\.\d+)?)H', 1) AS double), 0) * 3600 + coalesce(try_cast(regexp_extract(iso, '(\d+(?:\.\d+)?)M', 1) AS double), 0) * 60 + coalesce(try_cast(regexp_extract(iso, '(\d+(?:\.\d+)?)S', 1) AS double), 0)), 0) AS bigint) END AS iso_ms,
 CASE WHEN regexp_matches(clock, '^\d+:\d\d$') THEN CAST(split_part(clock, ':', 1) AS bigint) * 60 + CAST(split_part(clock, ':', 2) AS bigint) END AS clock_s,
-try_cast(nullif(regexp_extract(y, '(18|19|20)\d\d', 0), '') AS int) AS year, CAST(round_even(try_cast(ms AS double), 0) AS bigint) AS rounded, CAST(trunc(try_cast(ms AS double)) AS bigint) AS truncated FROM p""")
+try_cast(nullif(regexp_extract(y, '\b(?:18|19|20)\d\d\b', 0), '') AS int) AS year, CAST(round_even(try_cast(ms AS double), 0) AS bigint) AS rounded, CAST(trunc(try_cast(ms AS double)) AS bigint) AS truncated FROM p""")
 def dates_and_durations(p):
     return p.select(
         "recording_id", TT.iso_duration_ms(F.col("whosampled_duration_iso")).alias("iso_ms"), TT.clock_seconds(F.col("whosampled_duration")).alias("clock_s"),
@@ -178,53 +199,75 @@ def _case(expr: str, steps, beyond="0.0") -> str:
 
 
 _D = "CASE WHEN a > 0 AND b > 0 THEN abs(a - b) / 1000.0 END"
+#: The step tables of the SQL, written out on their own.
+_DURATION_A = [(2, 1.0), (5, 0.95), (10, 0.85), (20, 0.65), (30, 0.45), (60, 0.2)]
+_DURATION_B = [(2, 1.0), (5, 0.9), (10, 0.7), (20, 0.4)]
+_YEAR_A = [(0, 1.0), (2, 0.8), (5, 0.45)]
+_YEAR_B = [(0, 1.0), (1, 0.5), (3, 0.25)]
 
 
-@query("recordings", "spotify_tracks", sql=_PAIR + f""" SELECT row_id, CAST({_case(f"({_D})", S.DURATION_A)} AS double) AS duration_a, CAST({_case(f"({_D})", S.DURATION_B)} AS double) AS duration_b,
-CAST({_case("abs(ya - yb)", S.YEAR_A)} AS double) AS year_a, CAST({_case("abs(ya - yb)", S.YEAR_B)} AS double) AS year_b FROM p""")
+@query("recordings", "spotify_tracks", sql=_PAIR + f""" SELECT row_id, CAST({_case(f"({_D})", _DURATION_A)} AS double) AS duration_a, CAST({_case(f"({_D})", _DURATION_B)} AS double) AS duration_b,
+CAST({_case("abs(ya - yb)", _YEAR_A)} AS double) AS year_a, CAST({_case("abs(ya - yb)", _YEAR_B)} AS double) AS year_b, coalesce(ya <> yb, false) AS year_conflict, CAST(CASE WHEN ya = yb THEN 1 ELSE 0 END AS double) AS year_c FROM p""")
 def score_buckets(r, t):
     a, b, ya, yb = map(F.col, ("a", "b", "ya", "yb"))
     return _pairs(r, t).select("row_id", S.duration_score(a, b).alias("duration_a"), S.duration_score(a, b, S.DURATION_B).alias("duration_b"),
-                               S.year_score(ya, yb).alias("year_a"), S.year_score(ya, yb, S.YEAR_B).alias("year_b"))
-
-
-@query("recordings", "spotify_tracks", sql=_PAIR + f""", s AS (SELECT row_id, {_case(f"({_D})", S.DURATION_A)} AS d, {_case("abs(ya - yb)", S.YEAR_A)} AS y FROM p)
-SELECT row_id, CASE WHEN d IS NOT NULL OR y IS NOT NULL THEN round((coalesce(d * 0.15, 0) + coalesce(y * 0.05, 0)) / (CASE WHEN d IS NULL THEN 0 ELSE 0.15 END + CASE WHEN y IS NULL THEN 0 ELSE 0.05 END), 6) END AS score FROM s""")
-def score_weighted(r, t):
-    scores = {"duration": S.duration_score(F.col("a"), F.col("b")), "year": S.year_score(F.col("ya"), F.col("yb"))}
-    return _pairs(r, t).select("row_id", F.round(S.weighted(scores, {k: S.CATALOG_WEIGHTS[k] for k in scores}), 6).alias("score"))
-
-
-_CAND = rf"""WITH d AS (SELECT {c('recording_id')} AS id, min(spotify_duration_ms) AS ms FROM recordings WHERE {c('recording_id')} <> '' AND spotify_duration_ms IS NOT NULL GROUP BY 1),
-g AS (SELECT DISTINCT {c('source_recording_id')} AS source_id, {c('target_recording_id')} AS other FROM relationships),
-e AS (SELECT source_id, other, round(1 - least(1.0, abs(a.ms - b.ms) / 60000.0), 6) AS score, abs(a.ms - b.ms) AS gap FROM g JOIN d a ON a.id = source_id JOIN d b ON b.id = other WHERE source_id <> other)"""
-
-
-def _candidates(r, rel):
-    """Related recordings as candidates of each other, one row per edge, scored by duration."""
-    d = r.where(O.key("recording_id").isNotNull() & F.col("spotify_duration_ms").isNotNull()).groupBy(O.key("recording_id").alias("id")).agg(F.min("spotify_duration_ms").alias("ms"))
-    g = rel.select(O.key("source_recording_id").alias("source_id"), O.key("target_recording_id").alias("other")).where("source_id <> other").distinct()
+                               S.year_score(ya, yb).alias("year_a"), S.year_score(ya, yb, S.YEAR_B).alias("year_b"), S.year_conflict(ya, yb).alias("year_conflict"), S.year_equal(ya, yb).alias("year_c"))
+
+
+_CAND = rf"""WITH c AS (SELECT {c('recording_id')} AS source_id, lower(min({c('whosampled_title')})) AS title, lower(min({c('whosampled_artist_names')})) AS artist, lower(min({c('whosampled_album')})) AS album,
+ min(try_cast(nullif(regexp_extract({c('whosampled_release_year')}, '\b(?:18|19|20)\d\d\b', 0), '') AS int)) AS y, min(CAST(round_even(try_cast({c('whosampled_duration_ms')} AS double), 0) AS bigint)) AS ms
+ FROM artist_catalog_recordings_parsed WHERE {c('recording_id')} <> '' GROUP BY 1),
+t AS (SELECT {c('spotify_track_id')} AS other, lower(min({c('title')})) AS title, lower(min({c('artist_names')})) AS artist, lower(min({c('album_name')})) AS album,
+ min(try_cast(nullif(regexp_extract({c('album_release_date')}, '\b(?:18|19|20)\d\d\b', 0), '') AS int)) AS y, min(CAST(duration_ms AS bigint)) AS ms FROM spotify_tracks WHERE {c('spotify_track_id')} <> '' GROUP BY 1),
+p AS (SELECT source_id, other, CASE WHEN c.artist <> '' AND t.artist <> '' THEN CASE WHEN c.artist = t.artist THEN 1.0 WHEN contains(c.artist, t.artist) OR contains(t.artist, c.artist) THEN 0.9 ELSE 0.0 END ELSE 0.0 END AS artist,
+ abs(c.ms - t.ms) AS gap, {_case("abs(c.ms - t.ms) / 1000.0", _DURATION_A)} AS duration, {_case("abs(c.y - t.y)", _YEAR_A)} AS year, CASE WHEN c.album <> '' AND t.album <> '' THEN CASE WHEN c.album = t.album THEN 1.0 ELSE 0.0 END END AS album
+ FROM c JOIN t ON c.title = t.title WHERE c.title <> ''),
+e AS (SELECT source_id, other, gap, round((0.40 + artist * 0.35 + coalesce(duration * 0.15, 0) + coalesce(year * 0.05, 0) + coalesce(album * 0.05, 0))
+ / (0.75 + CASE WHEN duration IS NULL THEN 0 ELSE 0.15 END + CASE WHEN year IS NULL THEN 0 ELSE 0.05 END + CASE WHEN album IS NULL THEN 0 ELSE 0.05 END), 6) AS score FROM p)"""
+
+
+def _candidates(p, t):
+    """Catalogue recordings and tracks of one title as candidates, with the five weights of the catalogue score.
+
+    Titles are the blocks and equal; artists score 1, 0.9 where one text holds the other, or 0; albums 1 or 0. What is
+    missing on a side is null and its weight goes to the others, so candidates without duration stay.
+    """
+    year = lambda x: F.min(TT.year_of(F.col(x))).alias("y")
+    low = lambda x, n: F.lower(F.min(clean(F.col(x)))).alias(n)
+    a = p.where(O.key("recording_id").isNotNull()).groupBy(O.key("recording_id").alias("source_id")).agg(
+        low("whosampled_title", "title"), low("whosampled_artist_names", "artist"), low("whosampled_album", "album"), year("whosampled_release_year"), F.min(TT.rounded_int(F.col("whosampled_duration_ms"))).alias("ms"))
+    b = t.where(O.key("spotify_track_id").isNotNull()).groupBy(O.key("spotify_track_id").alias("other")).agg(
+        low("title", "title"), low("artist_names", "artist_b"), low("album_name", "album_b"), year("album_release_date").alias("y_b"), F.min(F.col("duration_ms").cast("bigint")).alias("ms_b"))
+    x, z, m, n = map(F.col, ("artist", "artist_b", "album", "album_b"))
     gap = F.abs(F.col("ms") - F.col("ms_b"))
-    scored = g.join(d.withColumnRenamed("id", "source_id"), "source_id").join(d.select(F.col("id").alias("other"), F.col("ms").alias("ms_b")), "other")
-    return scored.select("source_id", "other", F.round(1 - F.least(F.lit(1.0), gap / 60000.0), 6).alias("score"), gap.alias("gap"))
+    scores = {
+        "title": F.lit(1.0), "artist": F.when((x == "") | (z == ""), 0.0).when(x == z, 1.0).when(F.contains(x, z) | F.contains(z, x), 0.9).otherwise(0.0),
+        "duration": S.steps(gap / 1000, S.DURATION_A), "year": S.year_score(F.col("y"), F.col("y_b")), "album": F.when((m != "") & (n != ""), (m == n).cast("double")),
+    }
+    return a.where("title <> ''").join(b, "title").select("source_id", "other", F.round(S.weighted(scores, S.CATALOG_WEIGHTS), 6).alias("score"), gap.alias("gap"))
 
 
-@query("recordings", "relationships", sql=_CAND + " SELECT source_id, other, score, CAST(rank AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY score DESC, other) AS rank FROM e WHERE score >= 0.45) WHERE rank <= 5")
-def rank_top_candidates(r, rel):
-    return S.ranked(_candidates(r, rel), "source_id", "score", "other").select("source_id", "other", "score", "rank")
+@query("artist_catalog_recordings_parsed", "spotify_tracks", sql=_CAND + """, r AS (SELECT source_id, other, score, CAST(rank AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY score DESC, other) AS rank FROM e WHERE score >= 0.45) WHERE rank <= 5)
+SELECT c.source_id, r.other, r.score, r.rank, CASE WHEN r.other IS NULL THEN 'no_plausible_candidate' ELSE 'review' END AS candidate_status FROM c LEFT JOIN r USING (source_id)""")
+def rank_top_candidates(p, t):
+    kept = S.ranked(_candidates(p, t), "source_id", "score", "other").select("source_id", "other", "score", "rank")
+    return S.with_empty(p.select(O.key("recording_id").alias("source_id")).where("source_id is not null").distinct(), kept, "source_id", "other")
 
 
-@query("recordings", "relationships", sql=_CAND + """, m AS (SELECT *, row_number() OVER w AS rank, score - coalesce(lead(score) OVER w, 0) AS margin FROM e WINDOW w AS (PARTITION BY source_id ORDER BY score DESC, other))
-SELECT source_id, other, score, round(margin, 6) AS margin, CASE WHEN score >= 0.85 AND margin >= 0.05 THEN 'matched' WHEN score >= 0.75 THEN 'review' ELSE 'unmatched' END AS decision FROM m WHERE rank = 1""")
-def decide_by_margin(r, rel):
-    best = S.with_margin(_candidates(r, rel), "source_id", "score", "other")
-    return best.select("source_id", "other", "score", F.round("margin", 6).alias("margin"), S.decision(F.col("score"), F.col("margin")).alias("decision"))
+@query("artist_catalog_recordings_parsed", "spotify_tracks", sql=_CAND + """, m AS (SELECT *, row_number() OVER w AS rank, score - coalesce(lead(score) OVER w, 0) AS margin FROM e WINDOW w AS (PARTITION BY source_id ORDER BY score DESC, other))
+SELECT source_id, other, score, round(margin, 6) AS margin, CASE WHEN score >= 0.85 AND margin >= 0.05 THEN 'matched' WHEN score >= 0.75 THEN 'review' ELSE 'unmatched' END AS decision,
+CASE WHEN score >= 0.90 AND margin >= 0.05 THEN 'HIGH_CONFIDENCE' WHEN score >= 0.75 THEN 'REVIEW' ELSE 'NO_CONFIDENT_MATCH' END AS cache_decision FROM m WHERE rank = 1""")
+def decide_by_margin(p, t):
+    best = S.with_margin(_candidates(p, t), "source_id", "score", "other")
+    return best.select("source_id", "other", "score", F.round("margin", 6).alias("margin"), S.decision(F.col("score"), F.col("margin")).alias("decision"), S.cache_decision(F.col("score"), F.col("margin")).alias("cache_decision"))
 
 
-@query("recordings", "relationships", sql=_CAND + """, q AS (SELECT *, score >= max(score) OVER (PARTITION BY source_id) - 0.03 AS near FROM e)
-SELECT source_id, other, CAST(row_number() OVER (PARTITION BY source_id ORDER BY near DESC, CASE WHEN near THEN gap END ASC NULLS LAST, score DESC, other) AS int) AS rank FROM q""")
-def duration_tiebreak(r, rel):
-    return S.duration_tiebreak(_candidates(r, rel), "source_id", "score", "gap", "other").select("source_id", "other", "rank")
+@query("artist_catalog_recordings_parsed", "spotify_tracks", sql=_CAND + """, q AS (SELECT *, score >= max(score) OVER (PARTITION BY source_id) - 0.03 AS near FROM e),
+b AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY near DESC, CASE WHEN near THEN gap END ASC NULLS LAST, score DESC, other) = 1 AS first FROM q),
+o AS (SELECT *, row_number() OVER w AS rank, score - coalesce(lead(score) OVER w, 0) AS margin FROM b WINDOW w AS (PARTITION BY source_id ORDER BY first DESC, score DESC, other))
+SELECT source_id, other, CAST(rank AS int) AS rank, round(margin, 6) AS margin FROM o""")
+def duration_tiebreak(p, t):
+    return S.duration_tiebreak(_candidates(p, t), "source_id", "score", "gap", "other").select("source_id", "other", "rank", F.round("margin", 6).alias("margin"))
 
 
 # ---- joins
@@ -390,8 +433,10 @@ def fill_and_overlay(r):
     return r.select("row_id", O.fill_from(t, w).alias("filled"), O.overlay(t, w).alias("overlaid"))
 
 
-@query("recordings", "deleted_recordings", sql="SELECT row_id, recording_id FROM recordings WHERE recording_id NOT IN (SELECT recording_id FROM recordings WHERE lower(whosampled_match_status) = 'matched' AND recording_id IS NOT NULL)")
-def resume_pending(r, _):
+@query("recordings", "deleted_recordings", sql="""WITH r AS (SELECT * FROM recordings WHERE recording_id IS NULL OR recording_id NOT IN (SELECT recording_id FROM deleted_recordings WHERE recording_id IS NOT NULL))
+SELECT row_id, recording_id FROM r WHERE recording_id IS NULL OR recording_id NOT IN (SELECT recording_id FROM r WHERE lower(whosampled_match_status) = 'matched' AND recording_id IS NOT NULL)""")
+def resume_pending(r, gone):
+    r = r.join(gone.select("recording_id").distinct(), "recording_id", "left_anti")
     done = r.where(F.lower("whosampled_match_status") == "matched").where("recording_id is not null")
     return O.resume(r.select("row_id", "recording_id"), done, ["recording_id"])
 
@@ -429,10 +474,11 @@ def _pages(rel):
     return rel.where((clean(F.col("whosampled_relationship_url")) != "") & (clean(F.col("related_track")) != "")).select(F.col("relationship_id").alias("url"), row.alias("html"))
 
 
-@query("relationships", sql=rf"""SELECT DISTINCT relationship_id AS url, trim(regexp_replace(related_track, '[\s\p{{Z}}\x{{85}}]+', ' ', 'g')) AS text, trim(regexp_replace(whosampled_relationship_url, '[\s\p{{Z}}\x{{85}}]+', ' ', 'g')) AS href
-FROM relationships WHERE {c('whosampled_relationship_url')} <> '' AND {c('related_track')} <> ''""")
+@query("relationships", sql=rf"""WITH r AS (SELECT * FROM relationships WHERE {c('whosampled_relationship_url')} <> '' AND {c('related_track')} <> '')
+SELECT DISTINCT relationship_id AS url, 1 AS position, trim(regexp_replace(related_track, '[\s\p{{Z}}\x{{85}}]+', ' ', 'g')) AS text, trim(regexp_replace(whosampled_relationship_url, '[\s\p{{Z}}\x{{85}}]+', ' ', 'g')) AS href, 'trackName' AS css_class FROM r
+UNION SELECT DISTINCT relationship_id, 2, trim(regexp_replace(coalesce(related_artist, ''), '[\s\p{{Z}}\x{{85}}]+', ' ', 'g')), '/Some-Artist/', '' FROM r""")
 def html_links(rel):
-    return H.links(_pages(rel)).where("position = 1").select("url", "text", "href").distinct()
+    return H.links(_pages(rel)).distinct()
 
 
 @query("relationships", sql=rf"""SELECT count(*) AS n_links, count(DISTINCT trim(regexp_replace(whosampled_relationship_url, '[\s\p{{Z}}\x{{85}}]+', ' ', 'g'))) + 1 AS n_distinct FROM (SELECT whosampled_relationship_url FROM relationships
