@@ -139,7 +139,7 @@ def reconcile_recordings(recordings: DataFrame, catalog: DataFrame, reviews: Dat
     wide = O.ensure_columns(recordings, [*CATALOG_FIELDS, "whosampled_match_status", "catalog_reconciliation_status", "catalog_review_score", "catalog_provisional_recording_id", "catalog_reconciled_at"])
     hit = F.col("canonical_id").isNotNull()
     done = wide.join(gain, key("recording_id") == F.col("canonical_id"), "left").withColumns({
-        **{c: O.overlay(F.col(c), F.col(f"_{c}")) for c in CATALOG_FIELDS if f"_{c}" in gain.columns},
+        **{c: F.when(hit, O.overlay(F.col(c), F.col(f"_{c}"))).otherwise(F.col(c)) for c in CATALOG_FIELDS if f"_{c}" in gain.columns},
         "whosampled_match_status": F.when(hit, "matched").otherwise(F.col("whosampled_match_status")), "catalog_reconciliation_status": F.when(hit, "accepted_reconciled").otherwise(F.col("catalog_reconciliation_status")),
         "catalog_review_score": F.when(hit, F.col("_score")).otherwise(F.col("catalog_review_score")), "catalog_provisional_recording_id": F.when(hit, F.col("_from")).otherwise(F.col("catalog_provisional_recording_id")),
         "catalog_reconciled_at": F.when(hit, as_of).otherwise(F.col("catalog_reconciled_at")),
