@@ -4,8 +4,10 @@
 orphans and, with ``reopen``, the resolved references. ``step`` takes the rows of one interval of
 load time: new references probe the parent index, arriving parents move waiting orphans to
 ``later``, deletions move them to ``deleted`` and, with ``reopen``, reopen references that were
-resolved. A state is written after each step; resolved references are only appended, and read by
-the steps that bring deletions.
+resolved. The pending orphans are written after each step. The parent index and the deletions are only
+appended: a step adds the keys of its own interval, and reads of the earlier ones what meets its references;
+parts are merged when there are more than ``MOST_PARTS``. A history that is replayed lies in tables
+partitioned by interval, so no step reads rows of a later one.
 
 Null and blank references are no references. A reference without load time is compared with all
 parents and reported under a null month; a parent without load time was always there. Repeated
@@ -23,6 +25,8 @@ from pyspark.sql import functions as F
 from crateloom.functions.text import clean
 from crateloom.runtime import materialize, release
 
+#: Parts of an appended table before they become one.
+MOST_PARTS = 8
 ALWAYS, NEVER = "0001-01-01", "9999-12-31"
 REF = ["table_name", "field_name", "record_id", "ref_id", "loaded_at"]
 
@@ -56,42 +60,55 @@ def deletions(df: DataFrame, id_col: str = "recording_id") -> DataFrame:
     )
 
 
+def _appended(parts: list[DataFrame], new: DataFrame) -> list[DataFrame]:
+    """The parts with a new one; too many become one, with the least moment of each key."""
+    parts = [*parts, new]
+    if len(parts) <= MOST_PARTS:
+        return parts
+    rest = [c for c in new.columns if c != "ref_id"]
+    merged = materialize(reduce(DataFrame.unionByName, parts).groupBy("ref_id").agg(*[F.min(c).alias(c) for c in rest] or [F.count("*").alias("_n")]).select(*new.columns))
+    release(*parts[:-1])  # the step still reads the new one
+    return [merged]
+
+
 class OrphanState:
     """Pending orphans and the parent index after the steps so far.
 
     ``reopen``: a resolved reference becomes an orphan when its parent is deleted, also if the id still has
-    rows. Without it an orphan is a reference whose parent was not there when it was loaded.
+    rows. Without it an orphan is a reference whose parent was not there when it was loaded. ``keep``: earlier
+    states stay readable.
     """
 
-    def __init__(self, reopen: bool = False) -> None:
-        self.reopen = reopen
-        self.resolved: list[DataFrame] = []
-        self.index: DataFrame | None = None
-        self.gone: DataFrame | None = None
+    def __init__(self, reopen: bool = False, keep: bool = False) -> None:
+        self.reopen, self.keep = reopen, keep
+        self.index: list[DataFrame] = []
+        self.gone: list[DataFrame] = []
         self.pending: DataFrame | None = None
 
     def step(
-        self, refs: DataFrame, new_parents: DataFrame, new_deletions: DataFrame, resolved: DataFrame | None = None
+        self, refs: DataFrame, new_parents: DataFrame, new_deletions: DataFrame, resolved: DataFrame | None = None,
+        all_parents: DataFrame | None = None, all_deletions: DataFrame | None = None,
     ) -> "OrphanState":
-        """Advance by one interval. ``resolved``: references resolved elsewhere that deletions may reopen."""
+        """Advance by one interval. ``resolved``: earlier references that the new deletions may reopen.
+
+        ``all_parents`` and ``all_deletions`` up to this interval stand in for the index where the caller keeps them
+        as tables; else the step appends its own rows to the index.
+        """
         fresh = new_parents.groupBy("ref_id").agg(F.min("first_loaded").alias("first_loaded"))
-        died = new_deletions.select("ref_id").distinct()
-        if self.index is None:
-            index, gone = fresh, died
-        else:
-            index = self.index.unionByName(fresh).groupBy("ref_id").agg(F.min("first_loaded").alias("first_loaded"))
-            gone = self.gone.unionByName(died).distinct()
-        index, gone = materialize(index), materialize(gone)
+        if all_parents is None:
+            fresh, died = materialize(fresh), materialize(new_deletions.select("ref_id").distinct())
+            self.index, self.gone = _appended(self.index, fresh), _appended(self.gone, died)
+            all_parents, all_deletions = (reduce(DataFrame.unionByName, x) for x in (self.index, self.gone))
+        refs = refs.dropDuplicates(REF)
+        met = all_parents.join(refs.select("ref_id").distinct(), "ref_id", "left_semi")
+        index = met.groupBy("ref_id").agg(F.min("first_loaded").alias("first_loaded"))
+        gone = all_deletions.select("ref_id").distinct()
 
         absent = F.col("first_loaded").isNull() | (F.col("first_loaded") > F.coalesce("loaded_at", at(NEVER)))
-        probed = refs.dropDuplicates(REF).join(index, "ref_id", "left")
+        probed = refs.join(index, "ref_id", "left")
         if self.reopen:
-            self.resolved.append(materialize(probed.where(~absent).select(*REF)))
-            if not died.isEmpty() or not gone.isEmpty():
-                # New references meet all deletions, those of earlier steps only the deletions that are new.
-                old = [x.join(died, "ref_id", "left_semi") for x in self.resolved[:-1]]
-                again = reduce(DataFrame.unionByName, old, self.resolved[-1].join(gone, "ref_id", "left_semi"))
-                resolved = again if resolved is None else resolved.unionByName(again)
+            again = refs.select(*REF)
+            resolved = again if resolved is None else resolved.select(*REF).unionByName(again)
         waiting = (
             probed.where(absent)
             .withColumn("kind", F.when(F.col("first_loaded").isNull(), "missing").otherwise("later"))
@@ -112,8 +129,9 @@ class OrphanState:
             .withColumn("kind", F.when(F.col("dead"), "deleted").otherwise(F.col("kind")))
             .select(*REF, "kind")
         )
-        release(*(x for x in (self.index, self.gone, self.pending) if x is not None))
-        self.index, self.gone, self.pending = index, gone, pending
+        if self.pending is not None and not self.keep:
+            release(self.pending)
+        self.pending = pending
         return self
 
     def report(self) -> DataFrame:
@@ -135,7 +153,7 @@ def months(refs: DataFrame, all_parents: DataFrame, all_deletions: DataFrame) ->
 
 
 def replay(
-    refs: DataFrame, all_parents: DataFrame, all_deletions: DataFrame, steps: int = 3, cuts: list | None = None, reopen: bool = False
+    refs: DataFrame, all_parents: DataFrame, all_deletions: DataFrame, steps: int = 3, cuts: list | None = None, reopen: bool = False, keep: bool = False
 ):
     """Run a history through intervals of load time; yields the state after each.
 
@@ -147,18 +165,22 @@ def replay(
             F.min(F.when(F.col("first_loaded") > at(ALWAYS), F.col("first_loaded"))), F.max("first_loaded")
         ).first()
         cuts = [] if low is None else [low + (high - low) * k / steps for k in range(1, steps)]
-    state = OrphanState(reopen)
+    ends = F.array(*[F.lit(x).cast("timestamp_ntz") for x in cuts]) if cuts else F.array().cast("array<timestamp_ntz>")
+
+    def laid(df: DataFrame, moment: str) -> tuple[DataFrame, set[int]]:
+        """The rows once as a table that is partitioned by interval, and the intervals that have any."""
+        when = F.coalesce(F.col(moment), at(NEVER))
+        out = materialize(df.withColumn("step", F.size(F.filter(ends, lambda e: e < when))), by=["step"])
+        return out, {r.step for r in out.groupBy("step").agg(F.count("*").alias("n")).collect()}
+
+    (refs, with_refs), (all_parents, with_parents), (all_deletions, with_deletions) = (
+        laid(refs, "loaded_at"), laid(all_parents, "first_loaded"), laid(all_deletions, "deleted_at"))
+    state = OrphanState(reopen, keep)
     for k in range(len(cuts) + 1):
-        lower = F.lit(cuts[k - 1]).cast("timestamp_ntz") if k else None
-        upper = F.lit(cuts[k]).cast("timestamp_ntz") if k < len(cuts) else None
-
-        def within(moment):
-            moment = F.coalesce(moment, at(NEVER))
-            ok = F.lit(True) if lower is None else moment > lower
-            return ok if upper is None else ok & (moment <= upper)
-
-        yield state.step(
-            refs.where(within(F.col("loaded_at"))),
-            all_parents.where(within(F.col("first_loaded"))),
-            all_deletions.where(within(F.col("deleted_at"))),
-        )
+        # An interval without rows leaves the state as it is.
+        if k in with_refs | with_parents | with_deletions or state.pending is None:
+            own, upto = F.col("step") == k, F.col("step") <= k
+            old = refs.where(F.col("step") < k).join(all_deletions.where(own).select("ref_id").distinct(), "ref_id", "left_semi") if k in with_deletions else None
+            state.step(refs.where(own).drop("step"), all_parents.where(own), all_deletions.where(own), old if reopen else None, all_parents.where(upto), all_deletions.where(upto))
+        yield state
+    release(refs, all_parents, all_deletions)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crateloom.operators.orphans import OrphanState, deletions, months, parents, references, replay
-from crateloom.runtime import materialize, table
+from crateloom.runtime import table
 
 FIELDS = (
     ("credits", "recording_id", "credit_id"),
@@ -33,8 +33,7 @@ def p6_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts after each calendar month of the history, numbered from its first; deletions reopen references."""
     rows = inputs(spark, sf_dir)
     shots = [
-        materialize(state.counts().withColumn("snapshot_no", F.lit(k)))
-        for k, state in enumerate(replay(*rows, cuts=months(*rows), reopen=True), 1)
+        state.counts().withColumn("snapshot_no", F.lit(k)) for k, state in enumerate(replay(*rows, cuts=months(*rows), reopen=True, keep=True), 1)
     ]
     return reduce(DataFrame.unionByName, shots)
 
@@ -58,5 +57,18 @@ SELECT DISTINCT table_name, field_name, strftime(r.loaded_at, '%Y-%m') AS load_m
        CASE WHEN g.ref_id IS NOT NULL THEN 'deleted' WHEN i.ref_id IS NOT NULL THEN 'later' ELSE 'missing' END AS kind
 FROM ref r LEFT JOIN idx i USING (ref_id) LEFT JOIN gone g USING (ref_id)
 WHERE trim(r.ref_id) <> '' AND (i.ref_id IS NULL OR i.first_loaded > r.loaded_at)
+""",
+    "p6_snapshots": f"""
+WITH ref AS (SELECT DISTINCT * FROM ({_REF}) WHERE trim(ref_id) <> ''),
+idx AS (SELECT recording_id AS ref_id, min(coalesce(loaded_at, TIMESTAMP '0001-01-01')) AS f FROM recordings WHERE trim(recording_id) <> '' GROUP BY 1),
+gone AS (SELECT recording_id AS ref_id, min(coalesce(deleted_at, TIMESTAMP '0001-01-01')) AS g FROM deleted_recordings WHERE trim(recording_id) <> '' GROUP BY 1),
+t AS (SELECT loaded_at AS t FROM ref UNION ALL SELECT loaded_at FROM recordings WHERE trim(recording_id) <> '' UNION ALL SELECT deleted_at FROM deleted_recordings WHERE trim(recording_id) <> ''),
+m AS (SELECT unnest(generate_series(date_trunc('month', min(t))::timestamp, date_trunc('month', max(t))::timestamp, INTERVAL 1 MONTH)) AS m FROM t),
+n AS (SELECT m + INTERVAL 1 MONTH - INTERVAL 1 MICROSECOND AS cut, row_number() OVER (ORDER BY m) AS k, count(*) OVER () AS last FROM m),
+x AS (SELECT k AS snapshot_no, table_name, field_name, strftime(loaded_at, '%Y-%m') AS load_month, record_id,
+      CASE WHEN k = last OR g <= cut THEN CASE WHEN g IS NOT NULL THEN 'deleted' END END AS dead, f, cut, k, last, loaded_at
+      FROM n JOIN ref ON ref.loaded_at <= n.cut OR (n.k = n.last) LEFT JOIN idx USING (ref_id) LEFT JOIN gone USING (ref_id)),
+y AS (SELECT DISTINCT snapshot_no, table_name, field_name, load_month, record_id, CASE WHEN dead IS NOT NULL THEN dead WHEN f IS NULL OR (f > cut AND k < last) THEN 'missing' WHEN f > coalesce(loaded_at, TIMESTAMP '9999-12-31') THEN 'later' END AS kind FROM x)
+SELECT CAST(snapshot_no AS int) AS snapshot_no, table_name, field_name, load_month, kind, count(*) AS n_orphans FROM y WHERE kind IS NOT NULL GROUP BY ALL
 """,
 }

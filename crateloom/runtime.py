@@ -83,12 +83,12 @@ def spread_scan(df: DataFrame) -> DataFrame:
     return spread(df) if few else df
 
 
-def materialize(df: DataFrame, even: bool = False) -> DataFrame:
-    """Write ``df`` once to the scratch area and read it back, without its lineage."""
+def materialize(df: DataFrame, even: bool = False, by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once to the scratch area and read it back, without its lineage; ``by`` partitions the files."""
     spark = df.sparkSession
     df = spread(df) if even else df
     path = f"{scratch_root(spark)}/crateloom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.hint("rebalance", *by).write.partitionBy(*by) if by else df.write).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     atexit.register(_delete, spark, path)
