@@ -149,5 +149,69 @@ def name_folds_more(a):
                     F.array_join(TT.title_tokens(X.fold_ascii_lower_udf(n)), " ").alias("tokens")).distinct()
 
 
+# ---- pages built from the tables and read back
+
+def _esc(x):
+    from crateloom.plans.reference_queries import _escape
+
+    return _escape(x)
+
+
+def _track_pages(r):
+    v = {x: _esc(F.col(x)) for x in ("title", "artist_names", "album", "label", "release_year", "genre", "keywords", "whosampled_url", "youtube_video_id")}
+    parts = ['<html><head><link rel="canonical" href="', v["whosampled_url"], '"></head><body><h1><meta itemprop="name" content="', v["title"], '">x</h1><div class="trackArtistNames"><a href="/Some-Artist/">', v["artist_names"],
+             '</a></div><div itemprop="inAlbum"><span itemprop="name">', v["album"], '</span><span itemprop="recordLabel">', v["label"], '</span><meta itemprop="datePublished" content="', v["release_year"], '"></div><span itemprop="genre">', v["genre"],
+             '</span><meta itemprop="keywords" content="', v["keywords"], '"><div class="track-credit-item"><span class="track-credit-title">Composer(s):</span><span itemprop="contributor"><span itemprop="name"><a href="/Some-Artist/">', v["artist_names"],
+             '</a></span></span></div><div itemprop="producer"><span itemprop="name">', v["label"], '</span></div><div class="youtube-placeholder" data-id="', v["youtube_video_id"], '"></div><meta itemprop="duration" content="PT3M5.5S"></body></html>']
+    return r.select(F.col("row_id").cast("string").alias("url"), F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts]).alias("html"))
+
+
+_C = lambda x: f"trim(regexp_replace(coalesce({x}, ''), '{_SPACES}', ' ', 'g'))"
+
+
+@query("recordings", sql=f"""SELECT CAST(row_id AS varchar) AS url, {_C('title')} AS title, {_C('whosampled_url')} AS canonical_url, {_C('artist_names')} AS artists, {_C('album')} AS album, {_C('label')} AS label, {_C('release_year')} AS release_year, {_C('genre')} AS genre,
+{_C('youtube_video_id')} AS youtube_video_id, CAST(185500 AS bigint) AS duration_ms, CASE WHEN {_C('artist_names')} <> '' THEN {_C('artist_names')} || '/composed_by/Composer(s)/https://pages.example/Some-Artist/' ELSE '' END AS composer,
+CASE WHEN {_C('label')} <> '' THEN {_C('label')} || '/produced_by/Producer/' ELSE '' END AS producer FROM recordings""")
+def html_track_pages(r):
+    """A page of every recording, read back."""
+    from crateloom.sources import html as H
+
+    d = H.recording(_track_pages(r))
+    credit = lambda role: F.coalesce(F.try_element_at(F.transform(F.filter("credits", lambda x: x["role"] == role), lambda x: F.concat_ws("/", x["artist"], x["role"], x["source_role"], x["url"])), F.lit(1)), F.lit(""))
+    return d.select("url", "title", "canonical_url", F.array_join("artist_names", ", ").alias("artists"), "album", "label", "release_year", "genre", "youtube_video_id", "duration_ms", credit("composed_by").alias("composer"), credit("produced_by").alias("producer"))
+
+
+def _detail_pages(rel):
+    t, a, y, d = (_esc(F.col(x)) for x in ("related_track", "related_artist", "year", "detail"))
+    side = lambda name, url: [f'<div id="sampleWrap_{name}"><a itemprop="url" href="{url}"></a><span itemprop="name">', t, '</span><div itemprop="byArtist"><meta itemprop="name" content="', a, '"></div><div itemprop="inAlbum"><span itemprop="name">Album</span><meta itemprop="datePublished" content="', y, f'"></div><div class="sample-{name}-timing">1:0{len(name) % 10}</div></div>']
+    parts = ["<html><body>", *side("dest", "/A/B/"), *side("source", "/C/D"), '<span class="sample-type">', d, "</span></body></html>"]
+    return rel.where(clean(F.col("whosampled_relationship_url")) != "").select(clean(F.col("whosampled_relationship_url")).alias("url"), F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts]).alias("html"), "relationship_id")
+
+
+@query("relationships", sql=rf"""SELECT DISTINCT {c('whosampled_relationship_url')} AS url, CASE WHEN contains(whosampled_relationship_url, '/sample/') THEN 'sampled' WHEN contains(whosampled_relationship_url, '/cover/') THEN 'covers' WHEN contains(whosampled_relationship_url, '/remix/') THEN 'remix' WHEN contains(whosampled_relationship_url, '/interpolation/') THEN 'interpolates' END AS relationship_type,
+try_cast(nullif(regexp_extract(whosampled_relationship_url, '/(?:sample|cover|remix|interpolation)/(\d+)/', 1), '') AS bigint) AS number, nullif({_C('related_track')}, '') AS name, {_C('related_artist')} AS artists, try_cast(nullif(regexp_extract({_C('year')}, '\b(?:19|20)\d\d\b', 0), '') AS int) AS year,
+'https://pages.example/A/B/' AS url_1, 'https://pages.example/C/D/' AS url_2, CAST(64 AS double) AS at_1, CAST(66 AS double) AS at_2 FROM relationships WHERE {c('whosampled_relationship_url')} <> ''""")
+def html_relationship_details(rel):
+    """A page of every relationship with both of its tracks, read back."""
+    from crateloom.sources import html as H
+
+    d = H.relationship_details(_detail_pages(rel).select("url", "html"))
+    return d.select("url", "relationship_type", "number", "track_1.name", F.array_join("track_1.artists", ", ").alias("artists"), "track_1.year", F.col("track_1.url").alias("url_1"), F.col("track_2.url").alias("url_2"),
+                    F.col("track_1.sample_timestamp_seconds").alias("at_1"), F.col("track_2.sample_timestamp_seconds").alias("at_2")).distinct()
+
+
+@query("recordings", sql=f"""WITH x AS (SELECT row_id, {_C('title')} AS t, {_C('whosampled_title')} AS e, {_C('whosampled_artist_names')} AS ea, {_C('artist_names')} AS a, {_C('whosampled_url')} AS u FROM recordings)
+SELECT row_id, CASE WHEN u = '' THEN 'review' WHEN regexp_matches(lower(u), '/(sample|cover|interpolation|remix|search)/') THEN 'rejected' WHEN lower(t) = lower(e) AND (contains(lower(a), lower(ea)) OR contains(lower(ea), lower(a))) THEN 'matched' ELSE 'review' END AS live_status,
+CASE WHEN u = '' OR len(list_filter(string_split(regexp_replace(u, '^[a-z]+://[^/]+', ''), '/'), lambda p: p <> '')) <> 2 THEN 'rejected' WHEN lower(t) = lower(e) AND (contains(lower(a), lower(ea)) OR contains(lower(ea), lower(a))) THEN 'matched' ELSE 'review' END AS cached_status,
+t <> '' AND u <> '' AND NOT regexp_matches(lower(u), '/(sample|cover|interpolation|remix|search)/') AS saved FROM x""")
+def page_verification(r):
+    """Whether the page of a recording is its own, by lower-case titles and artists."""
+    low = lambda x: F.lower(X.collapse(F.col(x)))
+    u = X.collapse(F.col("whosampled_url"))
+    marked = F.lower(u).rlike("/(sample|cover|interpolation|remix|search)/")
+    args = (low("whosampled_title"), F.array(low("whosampled_artist_names")), low("title"), F.array(low("artist_names")), u, marked)
+    return r.select("row_id", S.page_status(*args).alias("live_status"), S.page_status(*args, cached=True, two_parts=F.size(K.path_parts(u)) == 2).alias("cached_status"), S.saved_page(X.collapse(F.col("title")), u, marked).alias("saved"))
+
+
 QUERIES = {k: v for k, v in _ALL.items() if k not in _BEFORE}
 SQL = {k: v for k, v in _SQL.items() if k in QUERIES}
