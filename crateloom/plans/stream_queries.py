@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,28 +20,26 @@ def stream_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_first_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Credits once per id, as a stream."""
     credits = flows.source(spark, sf_dir, "credits").select("credit_id", "loaded_at")
-    return flows.available_now(flows.first_seen(credits, ["credit_id"], "loaded_at", "3650 days")).groupBy().agg(F.count("*").alias("n_credits"))
+    return flows.first_ever(credits, ["credit_id"]).groupBy().agg(F.count("*").alias("n_credits"))
 
 
 def stream_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orphan references of credits from a stream, with the final kinds."""
-    import uuid
-
     refs = references(flows.source(spark, sf_dir, "credits"), "credits", "recording_id", "credit_id")
-    state = OrphanState()
-    sink = flows.orphan_sink(state, parents(table(spark, sf_dir, "recordings")), deletions(table(spark, sf_dir, "deleted_recordings")))
-    running = (
-        refs.writeStream.foreachBatch(sink).option("checkpointLocation", f"{scratch_root(spark)}/crateloom-stream-{uuid.uuid4().hex}")
-        .trigger(availableNow=True).start()
-    )
+    root = f"{scratch_root(spark)}/crateloom-stream-{uuid.uuid4().hex}"
+    sink = flows.orphan_sink(root, parents(table(spark, sf_dir, "recordings")), deletions(table(spark, sf_dir, "deleted_recordings")))
+    running = refs.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()
     running.awaitTermination()
-    if state.pending is None:
-        sink(references(table(spark, sf_dir, "credits").limit(0), "credits", "recording_id", "credit_id"), 0)
+    state = OrphanState()
+    state.pending = flows.pending_of(spark, root)
+    if state.pending is None:  # a table without files runs no batch
+        state.pending = spark.createDataFrame([], flows.PENDING)
     return state.report()
 
 
 QUERIES = {"stream_window_counts": stream_window_counts, "stream_first_credits": stream_first_credits, "stream_orphans": stream_orphans}
 SQL = {
+    "stream_window_counts": "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n_events, round(sum(value), 4) AS total FROM events GROUP BY 1, 2",
     "stream_first_credits": "SELECT count(DISTINCT credit_id) AS n_credits FROM credits",
     "stream_orphans": """
 WITH idx AS (SELECT recording_id AS ref_id, min(loaded_at) AS first_loaded FROM recordings GROUP BY 1),
