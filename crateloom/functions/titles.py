@@ -128,7 +128,8 @@ def spoken_seconds(c: Column) -> Column:
 
 def display_number(c: Column, digits: int) -> Column:
     """A number as text with so many digits, '' where it is none."""
-    return F.coalesce(F.format_string(f"%.{digits}f", F.bround(clean(c).try_cast("double"), digits)), F.lit(""))
+    value = F.bround(clean(c).try_cast("double"), digits)
+    return F.when(value.isNull(), "").otherwise(F.format_string(f"%.{digits}f", value))
 
 
 def year_prefix(c: Column) -> Column:

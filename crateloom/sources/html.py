@@ -348,8 +348,8 @@ def relationship_links(html: Column, base: str = BASE) -> Column:
 
 def first_relationship(html: Column) -> Column:
     """The first numbered relationship of a page by type: sample, cover, remix, interpolation; null without one."""
-    found = hrefs(html)
-    return F.coalesce(*[F.try_element_at(F.filter(found, lambda h, w=w: h.rlike(rf"/{w}/\d+")), F.lit(1)) for w in ("sample", "cover", "remix", "interpolation")])
+    of = lambda word: F.try_element_at(F.filter(hrefs(html), lambda h: h.rlike(rf"/{word}/\d+")), F.lit(1))
+    return F.coalesce(*map(of, ("sample", "cover", "remix", "interpolation")))
 
 
 def media(html: Column) -> Column:
