@@ -125,8 +125,7 @@ def _sql_real(c: str) -> str:
     )
 
 
-SQL = {
-    "p1_found": f"""
+_GROUPS = f"""
 WITH RECURSIVE keyed AS (
   SELECT row_id, collected_at, loaded_at, lower(trim(coalesce(whosampled_match_status, ''))) AS state,
          CASE WHEN {_sql_real("recording_id")} THEN 'R:' || recording_id END AS r,
@@ -141,9 +140,18 @@ reach AS (
   UNION SELECT e.v, x.root FROM reach x JOIN edge e ON e.u = x.node),
 root AS (SELECT node, min(root) AS root FROM reach GROUP BY node),
 grp AS (SELECT k.*, coalesce(o.root, 'row:' || row_id) AS g FROM keyed k LEFT JOIN root o ON o.node = coalesce(k.r, k.t)),
-best AS (SELECT *, first_value(row_id) OVER (PARTITION BY g ORDER BY n_real DESC,
+best AS (SELECT *, first_value(row_id) OVER w AS top, row_number() OVER w AS place FROM grp WINDOW w AS (PARTITION BY g ORDER BY n_real DESC,
          CASE state WHEN 'matched' THEN 3 WHEN 'review' THEN 2 WHEN 'unresolved' THEN 1 ELSE 0 END DESC,
-         collected_at DESC NULLS LAST, loaded_at DESC NULLS LAST, row_id) AS top FROM grp)
-SELECT least(row_id, top) AS row_id_a, greatest(row_id, top) AS row_id_b, top AS survivor_row_id FROM best WHERE row_id <> top
-""",
+         collected_at DESC NULLS LAST, loaded_at DESC NULLS LAST, row_id))
+"""
+
+_SPOTIFY = [f"spotify_{x}" for x in "track_id uri url isrc album_name album_id album_release_date album_release_precision album_image_url album_label duration_ms".split()]
+_PAGE = [f"whosampled_{x}" for x in "match_status url title artist_names album label release_year duration genre keywords thumbnail_url thumbnail_path thumbnail_status".split()]
+_OTHER = "recording_id title artist_names album label release_year duration genre keywords youtube_video_id youtube_url youtube_thumbnail_url musicbrainz_recording_id musicbrainz_release_id musicbrainz_country musicbrainz_label".split()
+
+SQL = {
+    "p1_found": _GROUPS + "SELECT least(row_id, top) AS row_id_a, greatest(row_id, top) AS row_id_b, top AS survivor_row_id FROM best WHERE row_id <> top",
+    "p1_golden": _GROUPS + "SELECT b.g AS group_key, min(b.top) AS survivor_row_id, count(*) AS n_rows, " + ", ".join(
+        f"arg_min(r.{c}, CASE WHEN {_sql_real(f'CAST(r.{c} AS varchar)')} THEN b.place END) AS {c}" for c in [*_OTHER, *_SPOTIFY, *_PAGE]
+    ) + " FROM best b JOIN recordings r ON r.row_id = b.row_id GROUP BY b.g",
 }
