@@ -86,7 +86,7 @@ def text_forms(t):
                     P.is_idle_label(x).alias("idle_label"), K.track_uri(F.col("spotify_track_id")).alias("uri"), X.truthy_text(x).alias("truthy"))
 
 
-_NAMES = "list_filter(list_transform(CAST(json_extract_string(artists_json, '$[*].name') AS varchar[]), lambda v: trim(v)), lambda v: v <> '')"
+_NAMES = "list_filter(list_transform(CAST(json_extract_string(CASE WHEN artists_json LIKE '[%' THEN artists_json ELSE '[]' END, '$[*].name') AS varchar[]), lambda v: trim(v)), lambda v: v <> '')"
 _COMMA = f"list_filter(list_transform(string_split(coalesce(artist_names, ''), ','), lambda v: {c('v')}), lambda v: v <> '')"
 
 
@@ -97,7 +97,7 @@ def artist_name_lists(t):
     return t.select("entry_id", F.array_join(n, "|").alias("names"), F.size(n).alias("n_names"), F.array_join(A.first_names(F.col("artists_json"), F.col("artist_names")), "|").alias("first_names"))
 
 
-_ROLES = """list_sort(list_distinct(list_filter(list_transform(CASE WHEN catalog_roles_json LIKE '[%' THEN CAST(json_extract_string(catalog_roles_json, '$[*]') AS varchar[]) ELSE [] END, lambda v: trim(v)), lambda v: v <> '')))"""
+_ROLES = """list_sort(list_distinct(list_filter(list_transform(CAST(json_extract_string(CASE WHEN catalog_roles_json LIKE '[%' THEN catalog_roles_json ELSE '[]' END, '$[*]') AS varchar[]), lambda v: trim(v)), lambda v: v <> '')))"""
 
 
 @query("artist_catalog_recordings_parsed", sql=f"""SELECT DISTINCT recording_id, CASE WHEN len({_ROLES}) = 0 OR {_ROLES} IS NULL THEN '' ELSE '["' || array_to_string({_ROLES}, '","') || '"]' END AS functions,

@@ -362,5 +362,63 @@ def bridge_manifest(rel):
     return rows.where(identity["number"] != "").select("url", K.relation_type(F.col("url"), 1).alias("relationship_type"), identity["number"].alias("relationship_id"), P.detail_archive_name(F.col("url")).alias("archive_name"))
 
 
+# ---- seeding, review candidates, caches
+
+_PAIRS = f"""WITH t AS (SELECT *, {c('spotify_track_id')} AS track, 'REC_' || substr(sha1('spotify:' || {c('spotify_track_id')}), 1, 16) AS rec FROM spotify_tracks WHERE {c('spotify_track_id')} <> ''),
+m AS (SELECT {c('spotify_track_id')} AS track, arg_max({c('whosampled_url')}, row_id) AS u, arg_max({c('whosampled_match_status')}, row_id) AS st FROM recordings WHERE {c('spotify_track_id')} <> '' GROUP BY 1),
+l AS (SELECT rec, entry_id, {c('spotify_url')} AS src, CASE WHEN artists_json LIKE '[%' THEN artists_json ELSE '[]' END AS artists_json, list_filter(list_transform(regexp_split_to_array(trim(coalesce(artist_ids, '')), '\\s*[,;|]\\s*|\\s+/\\s+'), lambda v: trim(v)), lambda v: v <> '') AS ids,
+ list_filter(list_transform(regexp_split_to_array(trim(coalesce(artist_names, '')), '\\s*[,;|]\\s*|\\s+/\\s+'), lambda v: trim(v)), lambda v: v <> '') AS names, {c('artist_names')} AS whole FROM t),
+x AS (SELECT rec, entry_id, src, CASE WHEN json_array_length(artists_json) > 0 THEN CAST(json_extract_string(artists_json, '$[*].id') AS varchar[]) WHEN len(ids) = 1 THEN ids WHEN len(ids) = len(names) THEN ids ELSE [] END AS i,
+ CASE WHEN json_array_length(artists_json) > 0 THEN CAST(json_extract_string(artists_json, '$[*].name') AS varchar[]) WHEN len(ids) = 1 THEN [whole] WHEN len(ids) = len(names) THEN names ELSE [] END AS n FROM l),
+p AS (SELECT rec, entry_id, src, generate_subscripts(i, 1) AS ord, trim(unnest(i)) AS sid, trim(unnest(n)) AS nm FROM x), q AS (SELECT *, 'ART_' || substr(sha1('spotify:' || sid), 1, 16) AS art FROM p WHERE sid <> '' AND nm <> '') """
+
+
+def _seeded(t, r):
+    from crateloom.operators import flows as W
+
+    return W.seed(t, r.select("spotify_track_id", "whosampled_url", F.col("whosampled_match_status").alias("match_status"), F.col("row_id").alias("position")))
+
+
+@query("spotify_tracks", "recordings", sql=_PAIRS + f"""SELECT rec AS recording_id, t.track AS spotify_track_id, arg_min({c('title')}, entry_id) AS title, arg_min({c('album_name')}, entry_id) AS album, arg_min(substr({c('album_release_date')}, 1, 4), entry_id) AS release_year,
+arg_min_null(CAST(duration_ms AS bigint), entry_id) AS spotify_duration_ms, coalesce(any_value(m.u), '') AS whosampled_url, coalesce(any_value(m.st), '') AS whosampled_match_status FROM t LEFT JOIN m ON m.track = t.track GROUP BY 1, 2""")
+def seed_recordings(t, r):
+    return _seeded(t, r)["recordings"].select("recording_id", "spotify_track_id", "title", "album", "release_year", "spotify_duration_ms", "whosampled_url", "whosampled_match_status")
+
+
+@query("spotify_tracks", "recordings", sql=_PAIRS + "SELECT art AS artist_id, sid AS spotify_artist_id, arg_max(nm, (entry_id, ord)) AS canonical_name, 'spotify:artist:' || sid AS spotify_uri FROM q GROUP BY 1, 2")
+def seed_artists(t, r):
+    return _seeded(t, r)["artists"]
+
+
+@query("spotify_tracks", "recordings", sql=_PAIRS + """SELECT 'CRD_' || substr(sha1('credit:' || concat_ws('|', rec, art, nm, 'performer', 'Spotify track artist', 'Spotify')), 1, 16) AS credit_id, rec AS recording_id, art AS artist_id, nm AS artist_name,
+CAST(arg_min(ord, (entry_id, ord)) AS int) AS artist_order, arg_min(src, (entry_id, ord)) AS source_url FROM q GROUP BY rec, art, nm""")
+def seed_credits(t, r):
+    return _seeded(t, r)["credits"].select("credit_id", "recording_id", "artist_id", "artist_name", "artist_order", "source_url")
+
+
+@query("credits", "artists", "recordings", sql=f"""WITH o AS (SELECT {c('artist_name')} AS artist, {_PAGE('artist_name')} AS url, 'generated_artist_slug' AS source, 3 AS r, '' AS ev FROM credits WHERE {c('artist_id')} = '' AND {c('artist_name')} <> ''
+UNION ALL SELECT {c('canonical_name')}, {c('whosampled_url')}, 'observed_artist_profile', 2, {c('artist_id')} FROM artists WHERE {c('canonical_name')} <> ''
+UNION ALL SELECT {c('artist_names')}, CASE WHEN len(list_filter(string_split(regexp_replace({c('whosampled_url')}, '^[a-z]+://[^/]+', ''), '/'), lambda x: x <> '')) > 0 THEN regexp_extract({c('whosampled_url')}, '^([a-z]+://[^/]+/+[^/]+)', 1) || '/' ELSE '' END, 'verified_track_match', 1, {c('recording_id')} FROM recordings WHERE lower({c('whosampled_match_status')}) = 'matched' AND {c('artist_names')} <> ''),
+k AS (SELECT DISTINCT *, lower(regexp_replace(url_decode(url), '/+$', '')) AS k FROM o WHERE url <> '')
+SELECT artist, arg_min(url, (r, url)) AS url, array_to_string(list_transform(list_sort(list_distinct(list((r, source)))), lambda s: s[2]), '|') AS sources, count(DISTINCT nullif(ev, '')) AS n_evidence, CAST(min(r) AS int) AS first_source FROM k GROUP BY artist, k""")
+def artist_review_candidates(cr, a, r):
+    """Candidate pages of artists from matched recordings, artist profiles and made addresses."""
+    from crateloom.operators import flows as W
+
+    made = cr.where((clean(F.col("artist_id")) == "") & (clean(F.col("artist_name")) != "")).select(clean(F.col("artist_name")).alias("artist"), _page("artist_name").alias("url"), F.lit("generated_artist_slug").alias("source"), F.lit("").alias("evidence"))
+    seen = a.where(clean(F.col("canonical_name")) != "").select(clean(F.col("canonical_name")).alias("artist"), clean(F.col("whosampled_url")).alias("url"), F.lit("observed_artist_profile").alias("source"), clean(F.col("artist_id")).alias("evidence"))
+    found = r.where((F.lower(clean(F.col("whosampled_match_status"))) == "matched") & (clean(F.col("artist_names")) != "")).select(
+        clean(F.col("artist_names")).alias("artist"), P.profile_of_track(F.col("whosampled_url")).alias("url"), F.lit("verified_track_match").alias("source"), clean(F.col("recording_id")).alias("evidence"))
+    return W.review_candidates(made.union(seen).union(found)).select("artist", "url", "sources", "n_evidence", "first_source")
+
+
+@query("recordings", "spotify_tracks", sql=f"""WITH t AS (SELECT {c('spotify_track_id')} AS track, min({c('title')}) AS title FROM spotify_tracks WHERE {c('spotify_track_id')} <> '' GROUP BY 1)
+SELECT row_id, title AS cached_title, CASE WHEN track IS NULL THEN 'to_fetch' ELSE 'cached' END AS status FROM (SELECT row_id, spotify_track_id AS sid FROM recordings) r LEFT JOIN t ON t.track = {c('r.sid')}""")
+def cached_tracks(r, t):
+    from crateloom.operators import flows as W
+
+    return W.cached_tracks(r.select("row_id", "spotify_track_id"), t).select("row_id", "cached_title", "status")
+
+
 QUERIES = {k: v for k, v in _ALL.items() if k not in _BEFORE}
 SQL = {k: v for k, v in _SQL.items() if k in QUERIES}
