@@ -59,6 +59,7 @@ def score_candidates(catalog: DataFrame, pool: DataFrame, top: int = 5, least: f
     null and their weights go to the others. Ties go to the lesser track id.
     """
     year = lambda c: TT.year_of(F.col(c))
+    catalog = O.ensure_columns(catalog, ["catalog_reconciliation_status", "canonical_merge_status", "canonical_recording_id"])
     left = catalog.where(~reconciled(F.col("catalog_reconciliation_status"), F.col("canonical_merge_status"), F.col("canonical_recording_id"))).select(
         clean(F.col("recording_id")).alias("recording_id"), clean(F.col("whosampled_title")).alias("title"), A.comma_names(F.col("whosampled_artist_names")).alias("artists"),
         clean(F.col("whosampled_album")).alias("album"), year("whosampled_release_year").alias("year"), TT.rounded_int(F.col("whosampled_duration_ms")).alias("ms")).dropDuplicates(["recording_id"])

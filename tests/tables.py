@@ -23,7 +23,7 @@ SCHEMAS = {
     "artists": _of("artist_id canonical_name spotify_artist_id spotify_uri spotify_url whosampled_name whosampled_url wikidata_qid musicbrainz_artist_id"),
     "credits": _of("credit_id recording_id artist_id artist_name role source_role artist_order source source_url", artist_order=I32),
     "relationships": _of("relationship_id source_recording_id target_recording_id relationship_type related_track related_artist year whosampled_relationship_url detail"),
-    "artist_catalog_recordings_parsed": _of("recording_id identity_status whosampled_url whosampled_title whosampled_artist_names whosampled_album whosampled_release_year whosampled_duration whosampled_duration_iso whosampled_duration_ms spotify_track_id spotify_title spotify_artist_names spotify_album_name spotify_album_release_date spotify_duration_ms"),
+    "artist_catalog_recordings_parsed": _of("recording_id identity_status " + " ".join(f"whosampled_{x}" for x in "url title artist_names producers album label release_year duration duration_iso duration_ms genre keywords thumbnail_url".split()) + " youtube_video_id youtube_url youtube_thumbnail_url catalog_roles_json catalog_artist_names_json catalog_artist_review_keys_json catalog_provenance_json catalog_track_archive_path spotify_match_status spotify_review_decision canonical_merge_status canonical_recording_id catalog_reconciliation_status catalog_reconciled_at spotify_match_method spotify_match_score spotify_match_margin spotify_track_id spotify_title spotify_artist_names spotify_album_name spotify_album_release_date spotify_duration_ms"),
     "deleted_recordings": pa.schema([("recording_id", S), ("deleted_at", TS)]),
     "documents": _of("doc_id text lang source n_chars artist_id doc_kind", doc_id=I64, n_chars=I64),
     "languages": pa.schema([("lang", S), ("lang_name", S)]),
