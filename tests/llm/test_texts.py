@@ -73,6 +73,12 @@ def test_mix(spark):
     assert {r.doc_id for r in small.collect()} <= {r.doc_id for r in rows if r.mix_name == "m" and r.source == "a"}
 
 
+@pytest.mark.skipif(not Path("/root/testdata/sf0.01").exists() or not Path(TOKENIZER).exists(), reason="no test tables here")
+def test_shares_of_the_test_tables(spark):
+    rows = X.p8_shares(spark, "/root/testdata/sf0.01").collect()
+    assert rows and all(abs(r.actual_share - r.target_share) < 0.01 and r.most_repeats <= r.max_repeats for r in rows)
+
+
 def test_tokens_match_the_tokenizer(spark):
     if not Path(TOKENIZER).exists():
         pytest.skip("no tokenizer file here")
