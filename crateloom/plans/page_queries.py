@@ -105,7 +105,7 @@ CASE WHEN {c('recording_id')} <> '' THEN {c('recording_id')} ELSE 'whosampled:'
 {c('whosampled_title')} || '|' || {c('whosampled_artist_names')} AS target_key FROM artist_catalog_recordings_parsed""")
 def review_keys(p):
     return p.select(
-        "recording_id", A.serialize_functions(A.parse_functions(F.col("catalog_roles_json"))).alias("functions"), K.review_key(F.col("recording_id"), F.col("whosampled_url")).alias("review_key"),
+        "recording_id", A.serialize_functions(A.json_elements(F.col("catalog_roles_json"))).alias("functions"), K.review_key(F.col("recording_id"), F.col("whosampled_url")).alias("review_key"),
         K.review_row_key(*[F.col(x) for x in ("whosampled_url", "whosampled_title", "whosampled_artist_names", "spotify_track_id")]).alias("row_key"),
         K.target_key(clean(F.col("whosampled_title")), clean(F.col("whosampled_artist_names"))).alias("target_key")).distinct()
 
