@@ -36,6 +36,8 @@ LOOKALIKES = [
     "AАΑ", "BВΒ", "CСϹ", "DᎠ", "EЕΕ", "FϜ", "GԌ", "HНΗ", "IІΙӀ", "JЈͿ", "KКΚ", "LᏞ", "MМΜ", "NΝ", "OОΟ", "PРΡ", "QԚ", "SЅ", "TТΤ", "VѴ", "WԜ", "XХΧ", "YҮΥ", "ZΖ",
 ]
 CLASS = {ch: group for group in LOOKALIKES for ch in group}
+#: Look-alikes whose compatibility form has another look; they become the first letter of their class before it.
+APART = {ord(ch): group[0] for ch, group in CLASS.items() if unicodedata.normalize("NFKC", ch) not in group}
 SWITCH_BITS, UNSEEN_BITS = 30.0, 16.0
 #: Scripts that have look-alikes; letters of all others count as one.
 SCRIPTS = {"LATIN": "L", "CYRILLIC": "C", "GREEK": "G"}
@@ -60,6 +62,11 @@ def symbol(ch: str) -> str:
     return str(list(SCRIPTS).index(own)) if own in SCRIPTS else "3" if own else "4"
 
 
+def letters(text: str) -> str:
+    """The visible text with accents as letters of their own."""
+    return unicodedata.normalize("NFD", visible(text.translate(APART)))
+
+
 class Lattice:
     """Viterbi over look-alike letters; keeps the tokens it has solved."""
 
@@ -103,8 +110,7 @@ class Lattice:
         return min(states.values(), key=lambda x: x[0])[1] if states else ""
 
     def text(self, text: str) -> str:
-        seen = unicodedata.normalize("NFD", visible(text))
-        return unicodedata.normalize("NFC", " ".join(self.token(t) for t in seen.split(" ")))
+        return unicodedata.normalize("NFC", " ".join(self.token(t) for t in letters(text).split(" ")))
 
 
 def letter_bits(grams: dict[str, int]) -> dict[str, float]:
@@ -133,11 +139,11 @@ def trigrams(texts: DataFrame) -> dict[str, int]:
         for b in batches:
             seen: Counter = Counter()
             for text, n in zip(b["text"], b["n"]):
-                for word in unicodedata.normalize("NFD", visible(text)).split(" "):
+                for word in letters(text).split(" "):
                     signs = "^^" + "".join(map(symbol, word))
                     for i in range(len(word)):
                         seen[signs[i : i + 3]] += n
-            yield pd.DataFrame({"gram": list(seen), "n": list(seen.values())})
+            yield pd.DataFrame({"gram": pd.Series(list(seen), dtype=object), "n": pd.Series(list(seen.values()), dtype="int64")})
 
     counts = texts.select("text", "n").mapInPandas(count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     return {r.gram: r.n for r in counts.toLocalIterator()}
@@ -150,7 +156,8 @@ def forms(texts: DataFrame) -> DataFrame:
     def bring(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lattice = Lattice(sent.value)
         for b in batches:
-            yield pd.DataFrame({"text": b["text"], "form": [lattice.text(t) for t in b["text"]]})
+            texts = b["text"].tolist()
+            yield pd.DataFrame({"text": pd.Series(texts, dtype=object), "form": pd.Series([lattice.text(t) for t in texts], dtype=object)})
 
     return materialize(texts.select("text").mapInPandas(bring, "text string, form string"))
 
