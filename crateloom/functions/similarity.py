@@ -35,21 +35,22 @@ def best_name_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([one(x if x is not None else [], y if y is not None else []) for x, y in zip(a, b)], dtype="float64")
 
 
-@F.pandas_udf(T.DoubleType())
-def both_ways_udf(a: pd.Series, b: pd.Series) -> pd.Series:
+def both_ways(x: list[str], y: list[str]) -> float:
     """0.65 of the mean best match forwards and 0.35 backwards; equal sets give 1."""
+    x, y = [p for p in (x if x is not None else []) if p], [p for p in (y if y is not None else []) if p]
+    if not x or not y:
+        return 0.0
+    if set(x) == set(y):
+        return 1.0
+    there = sum(max(ratio(p, q) for q in y) for p in x) / len(x)
+    back = sum(max(ratio(p, q) for q in x) for p in y) / len(y)
+    return 0.65 * there + 0.35 * back
 
-    def one(x, y):
-        x, y = [p for p in (x if x is not None else []) if p], [p for p in (y if y is not None else []) if p]
-        if not x or not y:
-            return 0.0
-        if set(x) == set(y):
-            return 1.0
-        there = sum(max(ratio(p, q) for q in y) for p in x) / len(x)
-        back = sum(max(ratio(p, q) for q in x) for p in y) / len(y)
-        return 0.65 * there + 0.35 * back
-
-    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")
+
+@F.pandas_udf(T.DoubleType())
+def both_ways_udf(a: pd.Series, b: pd.Series) -> pd.Series:
+    """``both_ways`` of two name lists."""
+    return pd.Series([both_ways(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
 def steps(difference: Column, table: list[tuple[float, float]], beyond: float = 0.0) -> Column:

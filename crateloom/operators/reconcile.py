@@ -20,6 +20,7 @@ from crateloom.functions import similarity as S
 from crateloom.functions import titles as TT
 from crateloom.functions.text import clean, fold_ascii_udf
 from crateloom.operators import frames as O
+from crateloom.operators import scoring as B
 from crateloom.operators.frames import key
 from crateloom.operators.reviews import low, reconciled
 from crateloom.runtime import materialize
@@ -69,24 +70,25 @@ def score_candidates(catalog: DataFrame, pool: DataFrame, top: int = 5, least: f
     left, right = materialize(_folded(left), even=True), materialize(_folded(right), even=True)
     near = lambda d: F.floor(F.col("ms") / 10_000) + d
 
-    def blocks(side: DataFrame, ident: str, shifts: list[int]) -> DataFrame:
-        words = F.filter(F.split("base", " "), lambda w: F.length(w) > 2)
-        timed = F.flatten(F.transform(words, lambda w: F.array(*[F.concat(F.lit("w|"), w, F.lit("|"), near(d).cast("string")) for d in shifts])))
-        found = F.concat(F.array(F.concat(F.lit("t|"), F.col("base"))), F.transform("names", lambda a: F.concat(F.lit("a|"), a)), F.coalesce(timed, F.array().cast("array<string>")))
-        return side.select(ident, F.explode(F.filter(found, lambda k: k.isNotNull() & ~k.isin("t|", "a|"))).alias("block"))
-
-    pairs = blocks(left, "recording_id", [0]).join(blocks(right, "spotify_track_id", [-1, 0, 1]), "block").select("recording_id", "spotify_track_id").distinct()
-    of = lambda side, ident, n: side.select(ident, *[F.col(c).alias(f"{n}_{c}") for c in ("fold", "base", "names", "album_fold", "year", "ms")])
-    both = pairs.join(of(left, "recording_id", "l"), "recording_id").join(of(right, "spotify_track_id", "r"), "spotify_track_id")
-    ratio = lambda a, b: F.when(F.col(a) == F.col(b), F.when(F.col(a) == "", 0.0).otherwise(1.0)).otherwise(S.ratio_udf(a, b))
-    scores = {
-        "title": F.greatest(ratio("l_fold", "r_fold"), ratio("l_base", "r_base")), "artist": S.both_ways_udf("l_names", "r_names"),
-        "duration": S.steps(F.abs(F.col("l_ms") - F.col("r_ms")) / 1000, S.DURATION_A), "year": S.year_score(F.col("l_year"), F.col("r_year")),
-        "album": F.when((F.col("l_album_fold") != "") & (F.col("r_album_fold") != ""), ratio("l_album_fold", "r_album_fold")),
-    }
-    both = both.withColumns({f"{k}_score": v for k, v in scores.items()}).withColumn("duration_difference_seconds", F.abs(F.col("l_ms") - F.col("r_ms")) / 1000)
-    both = both.withColumn("match_score", S.weighted({k: F.col(f"{k}_score") for k in scores}, S.CATALOG_WEIGHTS))
-    kept = S.ranked(both, "recording_id", "match_score", "spotify_track_id", top=top, least=least).withColumnRenamed("rank", "candidate_rank")
+    def blocks(side: DataFrame, ident: str, shifts: list[int], timed: bool) -> DataFrame:
+        words = F.filter(F.array_distinct(F.split("base", " ")), lambda w: F.length(w) > 2)
+        plain = F.concat(F.array(F.concat(F.lit("t|"), F.col("base"))), F.transform(F.array_distinct("names"), lambda a: F.concat(F.lit("a|"), a)))
+        by_word = F.coalesce(F.flatten(F.transform(words, lambda w: F.array(*[F.concat(F.lit("w|"), w, F.lit("|"), near(d).cast("string")) for d in shifts]))), F.array().cast("array<string>"))
+        found = F.filter(by_word if timed else plain, lambda k: k.isNotNull() & ~k.isin("t|", "a|"))
+        return side.withColumn("block", F.explode(found)).withColumnRenamed(ident, "id").withColumn("names", F.array_join("names", "|"))
+
+    def best(left: DataFrame, timed: bool) -> DataFrame:
+        pairs = B.best_in_blocks(blocks(left, "recording_id", [0], timed), blocks(right, "spotify_track_id", [-1, 0, 1], timed), top)
+        return materialize(pairs.withColumnsRenamed({"left": "recording_id", "right": "spotify_track_id"}))
+
+    # What titles and artists give is the least that a pair of a common word must reach.
+    order = ("recording_id", "match_score", "spotify_track_id")
+    first = best(left.withColumn("least", F.lit(least)), False).dropDuplicates(["recording_id", "spotify_track_id"])
+    full = S.ranked(first, *order, top=top, least=least).where(F.col("rank") == top).select("recording_id", F.col("match_score").alias("reached"))
+    rest = left.join(full, "recording_id", "left").withColumn("least", F.coalesce("reached", F.lit(least)))
+    both = first.union(best(rest, True)).dropDuplicates(["recording_id", "spotify_track_id"])
+    scores = list(S.CATALOG_WEIGHTS)
+    kept = S.ranked(both, *order, top=top, least=least).withColumnRenamed("rank", "candidate_rank")
     columns = ["spotify_track_id", "candidate_rank", *[f"{k}_score" for k in scores], "duration_difference_seconds", "match_score"]
     out = left.select("recording_id").join(kept.select("recording_id", *columns), "recording_id", "left")
     return out.withColumn("candidate_status", F.when(F.col("spotify_track_id").isNull(), "no_plausible_candidate").otherwise("review"))

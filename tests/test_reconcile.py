@@ -2,13 +2,16 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from crateloom.functions import similarity as S
 from crateloom.functions.similarity import ratio
 from crateloom.functions.text import fold_ascii
 from crateloom.operators import reconcile as R
 from crateloom.operators import reviews as V
+from crateloom.operators import scoring as B
 
 
 
@@ -38,6 +41,51 @@ def test_score_candidates_against_all_pairs(spark):
     assert R.score_candidates(done, tracks).count() == 0
 
 
+def test_best_pairs_of_a_block_without_scoring_all(monkeypatch):
+    rnd = random.Random(5)
+    text = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 7))) for _ in range(rnd.randint(1, n)))
+    names = lambda: "|".join(text(2) for _ in range(rnd.randint(0, 3)))
+    titles = [text(3) for _ in range(40)] + ["x" * 210 + "ab", ""]
+
+    def side(n, letter):
+        rows = [(f"{letter}{k:03}", (t := rnd.choice(titles)), t[: rnd.choice([3, 300])], names(), rnd.choice(["", text(2)]), rnd.choice([float("nan"), 1999.0, 2001.0]), rnd.randint(0, 90_000), rnd.random() < 0.8, 0.45) for k in range(n)]
+        return {c: np.array(v, dtype=object if c in ("id", "fold", "base", "names", "album_fold") else None) for c, v in zip(("id", "fold", "base", "names", "album_fold", "year", "ms", "timed", "least"), zip(*rows))}
+
+    left, right = side(30, "L"), side(120, "R")
+    right = {c: np.concatenate([v, v[:40]]) for c, v in right.items()}  # ties
+    right["id"] = np.array([f"R{k:03}" for k in range(160)], dtype=object)
+
+    def score(i, j):
+        a, b = ({c: v[k] for c, v in s.items()} for s, k in ((left, i), (right, j)))
+        d, y = abs(a["ms"] - b["ms"]) / 1000 if a["timed"] and b["timed"] else None, abs(a["year"] - b["year"])
+        parts = [max(S.ratio(a["fold"], b["fold"]), S.ratio(a["base"], b["base"])), S.both_ways(a["names"].split("|"), b["names"].split("|")), None if d is None else next((s for m, s in S.DURATION_A if d <= m), 0.0), None if y != y else next((s for m, s in S.YEAR_A if y <= m), 0.0), S.ratio(a["album_fold"], b["album_fold"]) if a["album_fold"] and b["album_fold"] else None]
+        known = [(s, w) for s, w in zip(parts, S.CATALOG_WEIGHTS.values()) if s is not None]
+        total = used = 0.0
+        for s, w in known:
+            total, used = total + s * w, used + w
+        return total / used
+
+    every = [sorted((-score(i, j), right["id"][j]) for j in range(160)) for i in range(30)]
+    want = {(left["id"][i], t, -s) for i, row in enumerate(every) for s, t in row[:5] if -s >= 0.45}
+    seen = []
+    ways = B.artists
+    monkeypatch.setattr(B, "artists", lambda a, b: (seen.append(len(a)), ways(a, b))[1])
+    for few in (0, 10_000):
+        monkeypatch.setattr(B, "FEW_PAIRS", few)
+        got = B.Sides(left, right, 5).best([(slice(0, 30), slice(0, 160))])
+        assert set(got[["left", "right", "match_score"]].itertuples(index=False, name=None)) == want
+    assert sum(seen[:-1]) < 30 * 160 / 2  # before, the artists of each pair were compared
+
+
+def test_large_blocks_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(B, "CHUNK", 3)
+    rows = [(f"{k:02}", f"river {k % 4}", "", "n", "", 1999, 200_000 + k, "w") for k in range(10)]
+    schema = "id string, fold string, base string, names string, album_fold string, year int, ms long, block string"
+    side = spark.createDataFrame(rows, schema)
+    got = B.best_in_blocks(side.withColumn("least", F.lit(0.45)), side, 10)
+    assert {(r.left, r.right) for r in got.collect()} == {(a[0], b[0]) for a in rows for b in rows}
+
+
 def test_reviews_change_rows(spark):
     rows = spark.createDataFrame([("t1", "u1", "review"), ("t2", "u2", "review"), ("t3", "u3", "review")], "spotify_track_id string, whosampled_url string, match_status string")
     d = spark.createDataFrame([("t1", "accepted", "d", "", "m1", ""), ("t2", "rejected", "d", "me", "m2", "")], "spotify_track_id string, decision string, reviewed_at string, decision_source string, manual_whosampled_track_url string, manual_whosampled_artist_url string")
